@@ -6,15 +6,16 @@ digit.  A document is contaminated by an item of n words when some stretch of it
 
 The CGK embedding reads a window by a random walk: at step j it writes the word it stands on and goes on by
 one if a random bit of (j, word) is 1.  Windows that are a few edits apart then agree at most steps, so edit
-distance turns into Hamming distance, and sampling ``coordinates`` steps is an LSH for it.  ``repeats``
-follows from ``target_recall``, given that related windows agree at a step with probability ``agreement``.
+distance turns into Hamming distance, and sampling steps is an LSH for it.  Two of the ``coordinates`` are
+the window's first two words, which need no walk: windows that start with no item's pair are given up at
+once.  The others are drawn anew for each repeat; ``repeats`` follows from ``target_recall``, given that
+related windows agree at a step with probability ``agreement``.
 
-Items are taken in classes of like size, from ``low`` to ``2 * low - 1`` words.  Documents are embedded from
-every ``stride``-th word on and items from each of their first ``stride`` words, so that every occurrence
-meets a window that starts where an item's does, at a fraction of the work.  Steps are sampled before
-``low - stride``, so no walk leaves the item.  Walks whose sampled words begin no item's key are given up at
-once, which changes nothing in what is found.  Each candidate is compared by Myers' bit-parallel edit
-distance in full.  Words of no item are one symbol: they match nothing either way.
+Items are taken in classes of like size, from ``low`` to ``2 * low - 1`` words.  A window walks over at most
+``low / 2`` words.  Windows start at every word of an item as long as they stay in it, and at every
+``low / 4``-th word of the documents, so each occurrence is met by several windows in each repeat.
+Candidates whose words can't reach the item's are dropped by counting; the rest are compared by Myers'
+bit-parallel edit distance in full.  Words of no item are one symbol: they match nothing either way.
 
 Items go to the executors in blocks of at most ``ITEMS_A_BLOCK``; each block is held against all documents.
 
@@ -38,7 +39,7 @@ from .tokens import groups
 
 RATE = 0.2
 MIN_WORDS = 8
-COORDINATES = 3
+COORDINATES = 4
 AGREEMENT = 0.65
 TARGET_RECALL = 0.97
 ITEMS_A_BLOCK = 20_000
@@ -89,7 +90,7 @@ def edits(places: dict[int, int], m: int, text: list[int]) -> tuple[int, int]:
 
 
 class Index:
-    """Items' sampled walks, as a trie a repeat and size class."""
+    """Items' windows under their sampled steps, as a trie a repeat and size class."""
 
     def __init__(self, items: list[tuple], rate: float, min_words: int, coordinates: int, repeats: int):
         split = [(i, [w for w in map(plain, (t or "").split()) if w]) for i, t in items]
@@ -110,21 +111,33 @@ class Index:
         classes: dict[int, list[int]] = {}
         for k, n in enumerate(self.size):
             classes.setdefault(1 << (n.bit_length() - 1), []).append(k)
-        self.classes = []
-        for low, members in sorted(classes.items()):
-            stride = max(1, low // 3)
-            usable = low - stride
-            tries = [self._trie(members, stride, usable, coordinates, draw) for _ in range(repeats)]
-            least = usable - max(self.most[k] for k in members)
-            self.classes.append((stride, usable, least, tries))
-
-    def _trie(self, members, stride, usable, coordinates, draw):
-        steps = np.sort(draw.choice(usable, min(coordinates, usable), replace=False)) if usable else np.zeros(1, np.int64)
-        bits = draw.integers(0, 2, size=(int(steps[-1]) + 1, self.n_symbols), dtype=np.int8)
-        flat = np.array([x for k in members for x in self.words[k]], np.int32)
-        first = np.cumsum([0] + [self.size[k] for k in members[:-1]])
-        owner, shift = np.repeat(np.arange(len(members)), stride), np.tile(np.arange(stride), len(members))
-        at, node, levels, step = first[owner] + shift, np.zeros(len(owner), np.int64), [], 0
+        owner = np.repeat(np.arange(len(self.size)), self.size)
+        self.held = np.unique(owner * self.n_symbols + np.array([x for w in self.words for x in w], np.int64)) if self.size else np.zeros(0, np.int64)
+        self.classes = [self._class(low, members, coordinates, repeats, draw) for low, members in sorted(classes.items())]
+        pairs = [w[k] * self.n_symbols + w[k + 1] for w in self.words for k in range(len(w) - 1)]
+        self.pairs = np.zeros(1 << 22, bool)
+        self.pairs[self._slot(np.array(pairs, np.int64))] = True
+
+    @staticmethod
+    def _slot(pair: np.ndarray) -> np.ndarray:
+        return (pair * -7046029254386353131 >> 42) & ((1 << 22) - 1)
+
+    def _class(self, low, members, coordinates, repeats, draw):
+        usable, stride = max(2, low // 2), max(1, low // 4)
+        flat = np.array([x for k in members for x in self.words[k]], np.int64)
+        size = np.array([self.size[k] for k in members])
+        count = size - usable + 1
+        owner = np.repeat(np.arange(len(members)), count)
+        shift = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+        start = (np.cumsum(size) - size)[owner] + shift
+        first, node = np.unique(flat[start] * self.n_symbols + flat[start + 1], return_inverse=True)
+        tries = [self._trie(flat, start, node, np.array(members)[owner], shift, usable, coordinates - 2, draw) for _ in range(repeats)]
+        return stride, usable, first, tries
+
+    def _trie(self, flat, start, node, item, shift, usable, coordinates, draw):
+        steps = 1 + np.sort(draw.choice(usable - 1, min(coordinates, usable - 1), replace=False))
+        bits = draw.integers(0, 2, size=(int(steps[-1]) + 1 if len(steps) else 1, self.n_symbols), dtype=np.int8)
+        at, levels, step = start, [], 0
         for s in steps.tolist():
             for j in range(step, s):
                 at = at + bits[j][flat[at]]
@@ -132,39 +145,49 @@ class Index:
             codes, node = np.unique(node * self.n_symbols + flat[at], return_inverse=True)
             levels.append(codes)
         order = np.argsort(node, kind="stable")
-        leaves = np.split(np.stack([np.array(members)[owner], shift], 1)[order], np.flatnonzero(np.diff(node[order])) + 1)
-        table = np.full(self.n_symbols, -1, np.int64)
-        table[levels[0]] = np.arange(len(levels[0]))
-        return steps.tolist(), bits, table, levels, leaves
-
-    def candidates(self, x: np.ndarray, n: int) -> set[tuple[int, int]]:
-        """(item, place where it would start) in the ``n`` symbols at the head of ``x``; what follows them is padding."""
-        found: set[tuple[int, int]] = set()
-        seen = np.concatenate([[0], np.cumsum(x > 0)])
-        for stride, usable, least, tries in self.classes:
-            starts = np.arange(0, n, stride)
-            starts = starts[seen[starts + usable] - seen[starts] >= least]
-            for steps, bits, table, levels, leaves in tries:
-                at, own, step, node = starts, starts, 0, None
-                for level, s in enumerate(steps):
+        ends = np.cumsum(np.bincount(node))
+        return steps.tolist(), bits, levels, item[order], shift[order], ends
+
+    def candidates(self, x: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Items and the places where they would start in the ``n`` symbols at the head of ``x``; what follows them is padding."""
+        wide = x.astype(np.int64)
+        pair = wide[:n] * self.n_symbols + wide[1 : n + 1]
+        likely = self.pairs[self._slot(pair)]
+        found = [np.zeros((2, 0), np.int64)]
+        for stride, _, first, tries in self.classes:
+            starts = np.flatnonzero(likely[::stride]) * stride
+            root = np.minimum(np.searchsorted(first, pair[starts]), len(first) - 1)
+            right = first[root] == pair[starts]
+            starts, root = starts[right], root[right]
+            for steps, bits, levels, item, shift, ends in tries:
+                at, own, node, step = starts, starts, root, 0
+                for codes, s in zip(levels, steps, strict=True):
                     for j in range(step, s):
                         at = at + bits[j][x[at]]
                     step = s
-                    if level == 0:
-                        node = table[x[at]]
-                        alive = np.flatnonzero(node >= 0)
-                        node = node[alive]
-                    else:
-                        codes = node * self.n_symbols + x[at]
-                        node = np.minimum(np.searchsorted(levels[level], codes), len(levels[level]) - 1)
-                        alive = np.flatnonzero(levels[level][node] == codes)
-                        node = node[alive]
-                    at, own = at[alive], own[alive]
-                    if not len(at):
-                        break
-                for k, start in zip(node.tolist(), own.tolist(), strict=True):
-                    found.update((int(item), start - int(shift)) for item, shift in leaves[k])
-        return found
+                    code = node * self.n_symbols + x[at]
+                    node = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+                    alive = codes[node] == code
+                    at, own, node = at[alive], own[alive], node[alive]
+                low = np.where(node > 0, ends[node - 1], 0)
+                many = ends[node] - low
+                place = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+                found.append(np.stack([item[place], np.repeat(own, many) - shift[place]]))
+        both = np.unique(np.concatenate(found, axis=1), axis=1)
+        return self._possible(wide, n, both[0], both[1])
+
+    def _possible(self, x, n, item, start):
+        """Those whose stretch holds enough of the item's words, counted without order."""
+        size, most = np.array(self.size)[item], np.array(self.most)[item]
+        low, high = np.clip(start - most, 0, n), np.clip(start + size + 2 * most, 0, n)
+        many = high - low
+        begin = np.cumsum(many) - many
+        place = np.repeat(low - begin, many) + np.arange(int(many.sum()))
+        code = np.repeat(item, many) * self.n_symbols + x[place]
+        where = np.minimum(np.searchsorted(self.held, code), max(0, len(self.held) - 1))
+        seen = np.concatenate([[0], np.cumsum(self.held[where] == code)]) if len(self.held) else np.zeros(1, np.int64)
+        enough = seen[begin + many] - seen[begin] >= size - most
+        return item[enough], start[enough]
 
     def hits(self, texts: list[str]) -> list[tuple[int, int, int, int]]:
         """(text, item, word where it starts about, edits), the best of each text and item."""
@@ -177,7 +200,7 @@ class Index:
         pad = max(self.size) + 1
         x = np.concatenate([*symbols, np.zeros(pad, np.int32)])
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        for item, start in sorted(self.candidates(x, n)):
+        for item, start in zip(*(c.tolist() for c in self.candidates(x, n)), strict=True):
             doc = int(np.searchsorted(ends, max(start, 0) + self.size[item] // 2, side="right"))
             # the middle of the item lies in the text that holds it, but a text may end within the item's allowed edits
             for d in {doc, int(np.searchsorted(ends, max(start, 0), side="right"))}:

@@ -28,12 +28,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shingles import mix
+from .tokens import groups
+
 SAMPLE_TEXTS = 400
 ROUNDS = 3
 MAX_PIECE = 12
 #: Words remembered by a worker before it starts anew.
 MAX_WORDS = 500_000
+#: Words of more characters are scored one by one, with the sums kept in range.
+LONG = 40
 SPACE = "▁"
+#: Stripped from both ends of a word before it is scored.
+MARKS = ".,;:!?\"'()[]{}<>*_-–—…«»„“”‘’/\\|#&%$0123456789"
+_BASE = 0x9E3779B97F4A7C15
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -98,45 +106,132 @@ def fit(counts: dict[str, int], number: dict[str, int], rounds: int = ROUNDS) ->
     return prob
 
 
+class _Rows(dict):
+    """Word -> its row; a new word gets one and is queued."""
+
+    def __init__(self):
+        super().__init__()
+        self.queue: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.queue.append(word)
+        self[word] = row = len(self.queue) - 1
+        return row
+
+
 class Scorer:
-    """Log-likelihoods of words, for all languages at once."""
+    """Log-likelihoods of texts, for all languages at once."""
 
     def __init__(self, vocabulary: list[str], probabilities: np.ndarray):
         self.number = {p: i for i, p in enumerate(vocabulary)}
-        self.rows = probabilities.T.tolist()  # piece -> a probability for each language
+        self.prob = np.ascontiguousarray(probabilities.T)  # piece -> a probability for each language
         self.n = probabilities.shape[0]
-        self.known: dict[str, np.ndarray] = {}
-
-    def word(self, word: str) -> np.ndarray:
-        unknown, languages = len(self.number), range(self.n)
-        ahead, lost = [[1.0] * self.n], [0.0] * self.n
-        for end, found in enumerate(spans(word, self.number, unknown), 1):
-            now = [0.0] * self.n
-            for start, k in found:
-                before, row = ahead[start], self.rows[k]
-                for x in languages:
-                    now[x] += before[x] * row[x]
+        keys = self._keys(vocabulary)
+        self.order = np.argsort(keys)
+        self.keys = keys[self.order]
+        self._reset()
+
+    def _reset(self) -> None:
+        self.rows, self.logs = _Rows(), np.zeros((0, self.n))
+
+    @staticmethod
+    def _prefixes(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sums of a polynomial hash over ``chars``, and the factors that shift a stretch back to its start."""
+        sums = np.zeros(len(chars) + 1, np.uint64)
+        up = np.full(len(chars) + 1, _BASE, np.uint64)
+        down = np.full(len(chars) + 1, pow(_BASE, -1, 1 << 64), np.uint64)
+        up[0] = down[0] = 1
+        up, down = np.multiply.accumulate(up), np.multiply.accumulate(down)
+        np.cumsum(mix(chars.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
+        return sums, down
+
+    def _keys(self, words: list[str]) -> np.ndarray:
+        sums, down = self._prefixes(np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32))
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        end = np.cumsum(size)
+        return (sums[end] - sums[end - size]) * down[end - size]
+
+    def forward(self, words: list[str]) -> np.ndarray:
+        """Each word's log-likelihoods; all words advance by one character at a time.  Words of up to LONG characters."""
+        marked = [SPACE + w for w in words]
+        size = np.fromiter(map(len, marked), np.int64, len(marked))
+        begin = np.cumsum(size) - size
+        sums, down = self._prefixes(np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32))
+        longest = int(size.max())
+        ahead = np.zeros((longest + 1, len(words), self.n))
+        ahead[0] = 1.0
+        for end in range(1, longest + 1):
+            active = np.flatnonzero(size >= end)
+            at = begin[active] + end
+            for length in range(1, min(end, MAX_PIECE) + 1):
+                key = (sums[at] - sums[at - length]) * down[at - length]
+                place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                right = self.keys[place] == key
+                piece = self.order[place[right]]
+                own = active[right]
+                ahead[end, own] += ahead[end - length, own] * self.prob[piece]
+                if length == 1 and not right.all():
+                    own = active[~right]
+                    ahead[end, own] += ahead[end - 1, own] * self.prob[-1]
+        return np.log(ahead[size, np.arange(len(words))])
+
+    def long_word(self, word: str) -> np.ndarray:
+        """The same for one word of any length, with the sums kept in range."""
+        unknown = len(self.number)
+        ahead, lost = [np.ones(self.n)], np.zeros(self.n)
+        marked = SPACE + word
+        for end in range(1, len(marked) + 1):
+            now = np.zeros(self.n)
+            for length in range(1, min(end, MAX_PIECE) + 1):
+                k = self.number.get(marked[end - length : end], unknown if length == 1 else None)
+                if k is not None:
+                    now = now + ahead[-length] * self.prob[k]
             ahead.append(now)
-            if min(now) < 1e-150:  # keep the last MAX_PIECE sums in range
-                for x in languages:
-                    top = max(a[x] for a in ahead[-MAX_PIECE:] if a)
-                    for a in ahead[-MAX_PIECE:]:
-                        a[x] /= top
-                    lost[x] += math.log(top)
-        return np.array([math.log(ahead[-1][x]) + lost[x] for x in languages])
-
-    def text(self, text: str) -> tuple[np.ndarray, int]:
-        counts = Counter(words_of(text))
-        if len(self.known) > MAX_WORDS:
-            self.known = {}
-        known, total = self.known, np.zeros(self.n)
-        for w, n in counts.items():
-            if (found := known.get(w)) is None:
-                found = self.word(w)
-                if len(w) <= 64:
-                    known[w] = found
-            total += n * found
-        return total, sum(counts.values())
+            ahead = ahead[-MAX_PIECE:]
+            if now.min() < 1e-150:
+                top = np.max(ahead, axis=0)
+                ahead, lost = [a / top for a in ahead], lost + np.log(top)
+        return np.log(ahead[-1]) + lost
+
+    def _learn(self) -> None:
+        known = len(self.logs)
+        new = self.rows.queue[known:]
+        if not new:
+            return
+        bare = [w.strip(MARKS) for w in new]
+        at = {w: k for k, w in enumerate(dict.fromkeys(w for w in bare if w))}
+        logs = np.zeros((len(at) + 1, self.n))  # the last is for words of marks only
+        words = np.array(list(at), object)
+        short = np.array([len(w) <= LONG for w in words], bool)
+        for first in range(0, len(words), 20_000):
+            chosen = np.flatnonzero(short[first : first + 20_000]) + first
+            if len(chosen):
+                logs[chosen] = self.forward(words[chosen].tolist())
+        for k in np.flatnonzero(~short):
+            logs[k] = self.long_word(words[k])
+        self.logs = np.concatenate([self.logs, logs[[at.get(w, -1) for w in bare]]])
+
+    def texts(self, texts: list[str]) -> list[tuple[np.ndarray, int]]:
+        """Each text's log-likelihoods and number of words."""
+        if len(self.rows) > MAX_WORDS:
+            self._reset()
+        rows = [np.fromiter(map(self.rows.__getitem__, w), np.int64, len(w)) for w in map(words_of, texts)]
+        self._learn()
+        return [(self.logs[r].sum(axis=0), len(r)) for r in rows]
+
+
+def predictions(scorer: Scorer | None, names: list[str], texts: list[str | None]) -> tuple[list[str], list[float]]:
+    """The best language and its score for each text."""
+    best, score = ["und"] * len(texts), [0.0] * len(texts)
+    if scorer is None:
+        return best, score
+    able = [k for k, t in enumerate(texts) if t is not None and _LETTER.search(t)]
+    chosen = [texts[k] for k in able]
+    for first, end in groups(chosen, 2_000_000):
+        for k, (total, n) in zip(able[first:end], scorer.texts(chosen[first:end]), strict=True):
+            odds = np.exp((total - total.max()) / math.sqrt(n))
+            best[k], score[k] = names[int(total.argmax())], float(odds.max() / odds.sum())
+    return best, score
 
 
 def sample(docs: DataFrame, learn: Column, most: int, id_col: str, text_col: str, lang_col: str) -> DataFrame:
@@ -159,7 +254,7 @@ def train(docs: DataFrame, learn: Column, id_col: str, text_col: str, lang_col:
         found: dict[str, Counter] = defaultdict(Counter)
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found[lang].update(w for w in words_of(text) if len(w) <= 40 and _LETTER.search(w))
+                found[lang].update(b for w in words_of(text) if (b := w.strip(MARKS)) and len(b) <= LONG and _LETTER.search(b))
         for lang, words in found.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(words)), pa.array(list(words)), pa.array(list(words.values()), pa.int64())], ["lang", "word", "n"])
 
@@ -182,6 +277,13 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(F.encode(F.col(f"`{id_col}`").cast("string"), "UTF-8")), F.lit(4)) == 2, F.lit(False))
 
 
+def _model(docs, id_col, text_col, lang_col, vocabulary, sample_texts, rounds):
+    vocabulary = vocabulary or default_vocabulary()
+    model = train(docs, ~held_out(id_col), id_col, text_col, lang_col, vocabulary, sample_texts, rounds)
+    names = sorted(model)
+    return names, docs.sparkSession.sparkContext.broadcast(np.array([model[n] for n in names])) if names else None, vocabulary
+
+
 def language_id(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -192,32 +294,41 @@ def language_id(
     rounds: int = ROUNDS,
 ) -> DataFrame:
     """One row a document: doc_id, held_out, lang_pred, score."""
-    vocabulary = vocabulary or default_vocabulary()
     apart = held_out(id_col)
-    model = train(docs, ~apart, id_col, text_col, lang_col, vocabulary, sample_texts, rounds)
-    spark = docs.sparkSession
-    names = sorted(model)
-    shared = spark.sparkContext.broadcast(np.array([model[n] for n in names])) if names else None
+    names, shared, vocabulary = _model(docs, id_col, text_col, lang_col, vocabulary, sample_texts, rounds)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(shared, vocabulary) if shared else None
         for batch in batches:
-            best, score = [], []
-            for text in batch.column(2).to_pylist():
-                if scorer is None or text is None or not _LETTER.search(text):
-                    best.append("und")
-                    score.append(0.0)
-                    continue
-                total, n = scorer.text(text)
-                odds = np.exp((total - total.max()) / math.sqrt(n))
-                best.append(names[int(total.argmax())])
-                score.append(float(odds.max() / odds.sum()))
+            best, score = predictions(scorer, names, batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(best, pa.string()), pa.array(score, pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), apart.alias("held_out"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return rows.mapInArrow(predict, f"doc_id {dict(rows.dtypes)['doc_id']}, held_out boolean, lang_pred string, score double")
 
 
+def keep_identified(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    vocabulary: str | None = None,
+    sample_texts: int = SAMPLE_TEXTS,
+    rounds: int = ROUNDS,
+) -> DataFrame:
+    """The documents that have a language, as they came: those predicted ``und`` go.  Nothing is shuffled."""
+    names, shared, vocabulary = _model(docs, id_col, text_col, lang_col, vocabulary, sample_texts, rounds)
+    at = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = _scorer(shared, vocabulary) if shared else None
+        for batch in batches:
+            best, _ = predictions(scorer, names, batch.column(at).to_pylist())
+            yield batch.filter(pa.array([b != "und" for b in best], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 _scorers: dict[int, Scorer] = {}
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, html_text, langid, licenses, near_dedup, packing, sharding, token_files
+from . import chat, decontaminate, exact_dedup, html_text, langid, licenses, near_dedup, packing, sharding, token_files
 from .common import table
 
 
@@ -34,6 +34,10 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(token_files.write_token_files(table(spark, sf_dir, "documents")))
 
@@ -47,7 +51,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_exact_dedup, op2_sharding, op3_decontamination, op4_html_extraction, op5_language_id, op6_license_scan, op8_token_files, op9_minhash_near_dedup, op10_packing)
+    named = (op1_exact_dedup, op2_sharding, op3_decontamination, op4_html_extraction, op5_language_id, op6_license_scan, op7_chat_formatting, op8_token_files, op9_minhash_near_dedup, op10_packing)
     return {f.__name__: f for f in named}
 
 

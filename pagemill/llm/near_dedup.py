@@ -196,3 +196,10 @@ def across(posts: DataFrame, many: DataFrame) -> DataFrame:
     outside = posts.join(many.select("key", F.col("top.label").alias("top")), "key").where("label <> top").select("key", F.col("rep").alias("a"), F.col("label").alias("a_label"))
     pairs = outside.join(posts, "key").where("label <> a_label")
     return pairs.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct()
+
+
+def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, coordinates: int = COORDINATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents whose doc_id is the least of its component, and those without doc_id, as they came."""
+    found = near_duplicates(docs, width, percent, coordinates, id_col, text_col)
+    gone = found.where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, F.col(f"`{id_col}`").cast("long") == F.col("__gone"), "left_anti")

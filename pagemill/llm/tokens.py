@@ -1,9 +1,14 @@
 """Token ids of whole texts by the ``tokenizers`` library.
 
-No pre-token of a byte-level BPE holds white space after anything else, so a text may be cut before any
-white space that follows a character that isn't, and the ids of the cuts put together are those of the
-whole text.  ``Encoder`` makes such units and has the library encode each different one once; text that
-repeats words, as prose does, then costs a look-up a word.  tests/llm compares it with plain encoding.
+A byte-level BPE splits a text into pre-tokens (runs of letters, of digits, of other characters, each with
+at most one space before it, and runs of white space) and never merges across them.  So a text may be cut
+
+* before white space that follows a character that isn't white space;
+* before a full stop or comma that follows a letter or digit;
+
+and the ids of the cuts put together are those of the whole text.  ``Encoder`` cuts there and has the library
+encode each different unit once; text that repeats words, as prose does, then costs a look-up a word.
+tests/llm compares it with plain encoding.
 """
 
 from __future__ import annotations
@@ -12,24 +17,29 @@ import re
 
 import numpy as np
 
-#: A space after white space: cutting at each space would cut a run of white space.
-_RUN = re.compile(r"\s ")
+#: White space after white space, or a mark after what is no letter or digit: such texts are cut with care.
+_ODD = re.compile(r"[.,\s](?<=[\W_][.,]|\s\s)")
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
+#: White space within a unit, but for one space in front; units that have it are encoded by themselves.
+_INNER = re.compile(r"(?<!\A)\s|\A[^\S ]|\A \Z|\A\Z")
+#: Units that are encoded in one call.
+_TOGETHER = 256
 
 #: Units remembered by a worker before it starts anew, so that memory has a bound.
-MAX_UNITS = 400_000
+MAX_UNITS = 600_000
 
 
 class _Places(dict):
-    """Unit -> its number; a new one is numbered and queued.  ``before`` goes before each key."""
+    """Unit -> its number; a new one is numbered and queued.  ``spaced`` keys stand for what follows a space, but for those that start with a mark."""
 
-    def __init__(self, queue: list[str], before: str):
+    def __init__(self, owner: Encoder, spaced: bool):
         super().__init__()
-        self.queue, self.before = queue, before
+        self.owner, self.spaced = owner, spaced
 
     def __missing__(self, unit: str) -> int:
-        self.queue.append(self.before + unit)
-        self[unit] = n = len(self.queue) - 1
+        queue = self.owner.queue
+        queue.append(" " + unit if self.spaced and unit[:1] not in ("\n", ".", ",") or not unit else unit)
+        self[unit] = n = len(self.owner.count) + len(queue) - 1
         return n
 
 
@@ -41,40 +51,70 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.vocab = self.tokenizer.get_vocab_size()
         self.max_units = max_units
+        (self.feed,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self._reset()
 
     def _reset(self) -> None:
-        self.units: list[str] = []
-        self.plain, self.spaced = _Places(self.units, ""), _Places(self.units, " ")
+        self.queue: list[str] = []  # units numbered, but not yet encoded
+        self.plain, self.spaced = _Places(self, False), _Places(self, True)
         self.flat = np.zeros(0, np.uint32)
         self.start = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int64)
 
     def _numbers(self, text: str) -> np.ndarray:
-        if _RUN.search(text):
+        if _ODD.search(text):
             cuts = _CUT.split(text)
             return np.fromiter(map(self.plain.__getitem__, cuts), np.int64, len(cuts))
-        first, *rest = text.split(" ")
+        first, *rest = text.replace("\n", " \n").replace(".", " .").replace(",", " ,").split(" ")
         found = np.empty(len(rest) + bool(first), np.int64)
         if first:
             found[0] = self.plain[first]
         found[bool(first) :] = np.fromiter(map(self.spaced.__getitem__, rest), np.int64, len(rest))
         return found
 
+    def _encoded(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all units, and how many each has."""
+        flat, count = [], []
+        for first in range(0, len(units), 64 * _TOGETHER):
+            parts = [units[k : k + _TOGETHER] for k in range(first, min(first + 64 * _TOGETHER, len(units)), _TOGETHER)]
+            for part, e in zip(parts, self.tokenizer.encode_batch_fast(["\n".join(p) + "\n" for p in parts], add_special_tokens=False), strict=True):
+                ids = np.array(e.ids, np.uint32)
+                cut = np.flatnonzero(ids == self.feed)
+                keep = np.ones(len(ids), bool)
+                keep[cut] = False
+                flat.append(ids[keep])
+                count.append(np.diff(cut, prepend=-1) - 1)
+                assert len(cut) == len(part)
+        return np.concatenate(flat), np.concatenate(count)
+
     def _learn(self) -> None:
-        new = self.units[len(self.count) :]
+        new, self.queue = self.queue, []
         if not new:
             return
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        count = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for e in ids for i in e), np.uint32, int(count.sum()))
-        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(count) - count])
-        self.flat = np.concatenate([self.flat, flat])
+        count, ids = np.zeros(len(new), np.int64), {}
+        # a line feed after a unit without white space but in front is a pre-token of its own, and so parts units
+        alone = [k for k, u in enumerate(new) if _INNER.search(u)]
+        joined = np.delete(np.arange(len(new)), alone)
+        if len(joined):
+            flat, many = self._encoded([new[k] for k in joined.tolist()] if alone else new)
+            count[joined] = many
+        for k, e in zip(alone, self.tokenizer.encode_batch_fast([new[k] for k in alone], add_special_tokens=False), strict=True):
+            ids[k] = e.ids
+            count[k] = len(e.ids)
+        start = len(self.flat) + np.cumsum(count) - count
+        own = np.empty(int(count.sum()), np.uint32)
+        if len(joined):
+            many, at = count[joined], start[joined] - len(self.flat)
+            own[np.repeat(at - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))] = flat
+        for k, i in ids.items():
+            own[start[k] - len(self.flat) :][: count[k]] = i
+        self.start = np.concatenate([self.start, start])
+        self.flat = np.concatenate([self.flat, own])
         self.count = np.concatenate([self.count, count])
 
     def encode(self, texts: list[str], end_id: int | None = None) -> list[np.ndarray]:
         """The ids of each text as uint32, with ``end_id`` after them if given."""
-        if len(self.units) > self.max_units:
+        if len(self.count) > self.max_units:
             self._reset()
         numbers = [self._numbers(t) for t in texts]
         self._learn()

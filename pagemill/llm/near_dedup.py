@@ -10,11 +10,11 @@
    ``coordinates - matches + 1``: any pair with enough matches meets there.  Keys of one class alone come
    first, so a text without relatives is left with nothing.  *Skip*: the other, longer lists are never
    merged; a pair from the prefix lists is looked up in the whole signatures to count its matches.
-3. Links: a list of n classes needs no n * n / 2 pairs, as only components are asked for.  In a leader
-   round each class is paired with the least of its list; lists whose classes lie in more than one
-   component afterwards get further rounds with other leaders, while the pairs left would outnumber the
-   postings; then *all* pairs of one list across components are taken, whatever their number.  So the
-   result is that of all pairs.  Each pair is confirmed on the full shingle sets.
+3. Links: a list of n classes needs no n * n / 2 pairs, as only components are asked for.  First each
+   class is paired with the least of its list.  What is linked there needs no more pairs; *all* other pairs
+   of one list are then compared, whatever their number: those of short lists as candidate rows, those of
+   long ones within the join, which gives out links only.  So the result is that of all pairs.  Each link is
+   confirmed on the full shingle sets.
 4. Components: large and small stars over the links.
 
 Defined results: null and empty texts have ``n_shingles`` 0 and stand alone; a row without doc_id stands
@@ -39,8 +39,8 @@ from .shingles import Shingler, mix
 from .tokens import groups
 
 COORDINATES = 32
-#: Leader rounds; what they leave is done pair by pair.
-LEADER_ROUNDS = 6
+#: Postings of a list up to which candidate pairs are written out.
+LONG_LIST = 32
 
 
 def least_matches(similarity: float, coordinates: int) -> int:
@@ -56,7 +56,7 @@ def signatures(docs: DataFrame, width: int, coordinates: int, id_col: str, text_
         factors = draw.integers(1 << 62, size=(2, coordinates), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for first, end in groups(texts, 1_000_000):
+            for first, end in groups(texts, 250_000):
                 hashes, count = shingler.shingles(texts[first:end])
                 ends = np.cumsum(count)
                 full = np.flatnonzero(count)
@@ -89,7 +89,7 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
         shingler = Shingler(width)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for first, end in groups(texts, 1_000_000):
+            for first, end in groups(texts, 250_000):
                 hashes, count = shingler.shingles(texts[first:end])
                 ends = np.cumsum(count)
                 own = [np.unique(hashes[e - c : e]).view(np.int64) for e, c in zip(ends, count, strict=True)]
@@ -99,24 +99,34 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
 
 
 class _Links:
-    """Confirms candidate pairs of representatives."""
+    """What makes a pair of classes a link."""
 
-    def __init__(self, docs: DataFrame, reps: DataFrame, width: int, percent: int, matches: int):
-        self.docs, self.reps, self.width, self.percent, self.matches = docs, reps, width, percent, matches
+    def __init__(self, docs: DataFrame, width: int, percent: int, matches: int):
+        self.docs, self.width, self.percent, self.matches = docs, width, percent, matches
+
+    def likely(self, first_only: bool = True):
+        """Of two postings of one key (the second's columns with ``b_``): sizes that can do, enough matches in the whole
+        signatures, and no earlier key in common, so that a pair comes from one list only."""
+        sizes = 100 * F.least("n_shingles", "b_n_shingles") >= self.percent * F.greatest("n_shingles", "b_n_shingles")
+        counted = F.size(F.array_intersect("keys", "b_keys")) >= self.matches
+        return sizes & (F.element_at(F.array_intersect("prefix", "b_prefix"), 1) == F.col("key")) & counted if first_only else sizes & counted
+
+    def sets(self, reps: DataFrame) -> DataFrame:
+        """doc_id and full set of the classes in column ``doc_id``."""
+        wanted = materialize(reps, "near-wanted")
+        return materialize(full_sets(self.docs.join(wanted, "doc_id", "left_semi"), self.width), "near-sets")
+
+    def enough(self, one, two):
+        """Whether two full sets are similar enough."""
+        shared = F.size(F.array_intersect(one, two))
+        return 100 * shared >= self.percent * (F.size(one) + F.size(two) - shared)
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that are links."""
-        one, two = (self.reps.select(F.col("rep").alias(x), F.col("digest").alias(f"d_{x}"), F.col("n_shingles").alias(f"n_{x}"), F.col("keys").alias(f"k_{x}")) for x in "ab")
-        likely = pairs.join(one, "a").join(two, "b")
-        likely = likely.where((100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")) & (F.size(F.array_intersect("k_a", "k_b")) >= self.matches))
-        likely = materialize(likely.select("a", "b").distinct(), "near-candidates")
-        wanted = materialize(likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "near-wanted")
-        sets = full_sets(self.docs.join(wanted, "doc_id", "left_semi"), self.width)
-        sets = materialize(sets, "near-sets")
+        """The pairs (a, b) that are links by their full sets."""
+        pairs = materialize(pairs, "near-candidates")
+        sets = self.sets(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
         one, two = (sets.select(F.col("doc_id").alias(x), F.col("held").alias(f"s_{x}")) for x in "ab")
-        shared = F.size(F.array_intersect("s_a", "s_b"))
-        both = likely.join(one, "a").join(two, "b").select("a", "b", shared.alias("i"), (F.size("s_a") + F.size("s_b") - shared).alias("u"))
-        return both.where(100 * F.col("i") >= self.percent * F.col("u")).select("a", "b").distinct()
+        return pairs.join(one, "a").join(two, "b").where(self.enough(F.col("s_a"), F.col("s_b"))).select("a", "b").distinct()
 
 
 def near_duplicates(
@@ -132,12 +142,9 @@ def near_duplicates(
     signed = materialize(signatures(docs, width, coordinates, id_col, text_col), "signatures")
     classes = signed.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))
     posted = signed.join(classes.withColumnRenamed("digest", "c_digest"), (F.col("digest") == F.col("c_digest")) & (F.col("doc_id") == F.col("rep")))
-    reps = posted.select("rep", "digest", "n_shingles", "keys")
-    prefix = prefix_postings(reps, matches)
-    related = materialize(reps.join(prefix.select("rep").distinct(), "rep", "left_semi"), "near-related")
+    prefix = prefix_postings(posted.select("rep", "n_shingles", "keys"), matches)
     text = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    links = _Links(text, related, width, percent, matches)
-    labels = link_components(prefix, links)
+    labels = link_components(prefix, _Links(text, width, percent, matches))
     by_digest = classes.join(labels, classes["rep"] == labels["node"], "left").select(F.col("digest").alias("c_digest"), F.coalesce("component", "rep").alias("class_component"))
     out = signed.drop("keys").join(by_digest, signed["digest"] == by_digest["c_digest"], "left")
     component = F.coalesce("class_component", "doc_id")
@@ -145,57 +152,65 @@ def near_duplicates(
 
 
 def prefix_postings(reps: DataFrame, matches: int) -> DataFrame:
-    """key and rep, for each class's prefix of keys that other classes hold too."""
+    """key, rep, n_shingles, keys, prefix: each class under its prefix of the keys that other classes hold too."""
     every = reps.select("rep", F.explode("keys").alias("key"))
     counted = every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    held = every.join(counted, "key").groupBy("rep").agg(F.sort_array(F.collect_set(F.struct("n", "key"))).alias("held"))
+    held = every.join(counted, "key").groupBy("rep").agg(F.sort_array(F.collect_set(F.struct("n", "key"))).alias("held")).where(F.size("held") >= matches)
     # the keys that no other class holds stand before these and use the prefix up
-    rare = F.slice("held", F.lit(1), F.size("held") - matches + 1)
-    return materialize(held.where(F.size("held") >= matches).select("rep", F.explode(rare).alias("k")).select(F.col("k.key").alias("key"), "rep"), "near-postings")
+    rare = F.transform(F.slice("held", F.lit(1), F.size("held") - matches + 1), lambda k: k["key"])
+    listed = reps.join(held.select("rep", rare.alias("prefix")), "rep")
+    return materialize(listed.select(F.explode("prefix").alias("key"), "rep", "n_shingles", "keys", "prefix"), "near-postings")
 
 
 def link_components(prefix: DataFrame, links: _Links) -> DataFrame:
-    """node and component of the representatives that are linked."""
-    spark = prefix.sparkSession
-    labels = spark.createDataFrame([], "node long, component long")
-    for turn in range(LEADER_ROUNDS + 1):
-        now = labelled(prefix, labels)
-        size = now.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-        unresolved = materialize(now.join(size.select("key"), "key", "left_semi"), "near-unresolved")
-        many = unresolved.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("top"))
-        work = many.agg(F.coalesce(F.sum((F.col("n") - F.col("top.n")) * F.col("n")), F.lit(0)).alias("pairs"), F.coalesce(F.sum("n"), F.lit(0)).alias("posts")).first()
-        if not work.pairs:
-            break
-        last = turn == LEADER_ROUNDS or work.pairs <= 4 * work.posts
-        pairs = across(unresolved, many) if last else with_leader(unresolved, turn)
-        found = links.confirmed(pairs)
-        joined = found.join(labels.select(F.col("node").alias("a"), F.col("component").alias("la")), "a", "left").join(labels.select(F.col("node").alias("b"), F.col("component").alias("lb")), "b", "left")
-        # components so far, joined by the new links
-        merged = joined.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")).where("a <> b")
-        roots = components(merged, "near-components")
-        moved = labels.join(roots.select(F.col("node").alias("component"), F.col("component").alias("root")), "component", "left").select("node", F.coalesce("root", "component").alias("component"))
-        labels = materialize(moved.unionByName(roots.join(labels.select("node"), "node", "left_anti")), "near-labels")
-        if last:
-            break
-    return labels
+    """node and component of the classes that are linked."""
+    start = prefix.withColumn("label", F.col("rep"))
+    led = materialize(links.confirmed(with_leader(start, links)), "near-led")
+    # a class and the least class that it is linked with are in one component, and so are those with one such class
+    labels = materialize(led.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component")), "near-labels")
+    now = labelled(prefix, labels)
+    mixed = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    unresolved = materialize(now.join(mixed.select("key"), "key", "left_semi"), "near-unresolved")
+    return components(led.unionByName(across(unresolved, links)), "near-components")
 
 
 def labelled(prefix: DataFrame, labels: DataFrame) -> DataFrame:
-    return prefix.join(labels, prefix["rep"] == labels["node"], "left").select("key", "rep", F.coalesce("component", "rep").alias("label"))
-
-
-def with_leader(posts: DataFrame, turn: int) -> DataFrame:
-    """Each class and the leader of its list: the least in the first turn, then drawn by a hash."""
-    order = F.lit(0) if turn == 0 else F.xxhash64("rep", F.lit(turn))
-    leader = posts.groupBy("key").agg(F.min(F.struct(order.alias("o"), "rep", "label")).alias("l")).select("key", F.col("l.rep").alias("b"), F.col("l.label").alias("b_label"))
-    return posts.join(leader, "key").where("rep <> b and label <> b_label").select(F.col("rep").alias("a"), "b").distinct()
-
-
-def across(posts: DataFrame, many: DataFrame) -> DataFrame:
-    """All pairs of a list whose labels differ; one of a pair at least is outside the list's commonest label."""
-    outside = posts.join(many.select("key", F.col("top.label").alias("top")), "key").where("label <> top").select("key", F.col("rep").alias("a"), F.col("label").alias("a_label"))
-    pairs = outside.join(posts, "key").where("label <> a_label")
-    return pairs.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct()
+    return prefix.join(labels, prefix["rep"] == labels["node"], "left").withColumn("label", F.coalesce("component", "rep")).drop("node", "component")
+
+
+def second(posts: DataFrame, *more: str) -> DataFrame:
+    """Postings as the other side of a pair."""
+    return posts.select(*[F.col(c).alias(f"b_{c}") for c in ("key", "rep", "label", "n_shingles", "keys", "prefix", *more)])
+
+
+def with_leader(posts: DataFrame, links: _Links) -> DataFrame:
+    """Likely pairs of a class and the least of its list."""
+    least = posts.groupBy("key").agg(F.min("rep").alias("rep"))
+    led = second(posts.join(least, ["key", "rep"]))
+    pairs = posts.join(led, (F.col("key") == F.col("b_key")) & (F.col("rep") != F.col("b_rep")) & links.likely(first_only=False))
+    return pairs.select(F.least("rep", "b_rep").alias("a"), F.greatest("rep", "b_rep").alias("b")).distinct()
+
+
+def across(posts: DataFrame, links: _Links) -> DataFrame:
+    """All links between classes of a list whose labels differ; one of a pair at least is outside the list's commonest label.
+
+    Short lists give candidate pairs, at most LONG_LIST for each posting.  Those of longer lists would grow with
+    the square of the list, so their postings carry the full sets and the join itself tells links from others.
+    """
+    # how often each component stands in a list
+    tops = posts.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.sum("n").alias("size"), F.max(F.struct("n", "label")).alias("top"))
+    named = posts.join(tops.select("key", "size", F.col("top.label").alias("top")), "key")
+    same = (F.col("key") == F.col("b_key")) & (F.col("label") != F.col("b_label"))
+    pair = [F.least("rep", "b_rep").alias("a"), F.greatest("rep", "b_rep").alias("b")]
+    short = named.where(F.col("size") <= LONG_LIST)
+    found = links.confirmed(short.join(second(short.where("label <> top")), same & links.likely()).select(*pair).distinct())
+    long = named.where(F.col("size") > LONG_LIST)
+    if long.isEmpty():
+        return found
+    sets = links.sets(long.select(F.col("rep").alias("doc_id")).distinct())
+    full = long.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+    told = full.join(second(full.where("label <> top"), "held"), same & links.likely() & links.enough(F.col("held"), F.col("b_held")))
+    return found.unionByName(told.select(*pair)).distinct()
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, coordinates: int = COORDINATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

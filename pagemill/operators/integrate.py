@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import recommended_section, rstrip
 from .segment import sections
 
+# fixed values
 UNCERTAIN = ["不确定", "冲突", "推断", "单位"]
 
 

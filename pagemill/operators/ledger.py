@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BATCH_PAGES = 20
+#: Fixed values, in the order in which they are tried.
 ENGINES = ["mineru", "docling", "markitdown", "pymupdf", "pypdf"]
 
 

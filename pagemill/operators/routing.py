@@ -9,6 +9,7 @@ from ..functions.text import WS_IN_LINE, compact_blank_lines, is_boilerplate, is
 
 IMAGE = r"!\[[^\]]*\]\([^)]*\)"
 _MARK = "\ue000"  # a private-use character; stands for a placeholder that is taken out
+# fixed value
 EMPTY_PAGE = "_本页无实质内容。_"
 
 

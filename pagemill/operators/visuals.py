@@ -13,6 +13,7 @@ from ..functions.text import clean_model_text, compact_context, strip
 from ..functions.udfs import link_key
 
 LINK = r"!\[([^\]]*)\]\(([^)]+)\)"
+# fixed values
 TODO = "- Textual description: TODO review the asset or engine output and replace this note with a complete description.\n- Uncertainty: description not yet verified.\n"
 PLACEHOLDER = r"\*\*Visual element (\d+): (.*?)\*\*\n\n- Asset: `([^`]+)`\n- Textual description: TODO review the asset or engine output and replace this note with a complete description\.\n- Uncertainty: description not yet verified\.\n?"
 

@@ -35,24 +35,21 @@ def test_the_last_section_of_a_page_counts(spark):
 
 
 def plain_chunks(content, most):
-    out, unit, buffer = [], None, []
-
-    def flush():
-        text = "\n".join(buffer).strip()
-        if text:
-            out.append((unit, text))
-        buffer.clear()
-
+    """Units first, then as many lines of a unit as fit at a time."""
+    units = [(None, [])]
     for line in content.splitlines():
-        head = re.match(r"##\s+(page|slide)\s+(\d+)\b", line, re.I)
-        if head:
-            flush()
-            unit = f"{head[1].lower()}:{head[2]}"
-        if sum(len(x) + 1 for x in buffer) + len(line) > most:
-            flush()
-        buffer.append(line)
-    flush()
-    return out
+        if head := re.match(r"##\s+(page|slide)\s+(\d+)\b", line, re.I):
+            units.append((":".join(head.groups()).lower(), []))
+        units[-1][1].append(line)
+    out = []
+    for unit, lines in units:
+        while lines:
+            fits = 1
+            while fits < len(lines) and sum(map(len, lines[: fits + 1])) + fits <= most:
+                fits += 1
+            out.append((unit, "\n".join(lines[:fits]).strip()))
+            lines = lines[fits:]
+    return [c for c in out if c[1]]
 
 
 def test_greedy_chunks_are_those_of_a_loop(spark):

@@ -22,18 +22,15 @@ def assets_of(spark, *paths):
 
 
 def plain_lookup(paths):
-    """The look-up as it is written, key by key."""
-    out, names = {}, {}
-    for p in sorted(paths):
-        out[p] = f"assets/{p}"
-        parts = p.split("/")
-        if len(parts) >= 2:
-            out["/".join(parts[-2:])] = f"assets/{p}"
-        names[parts[-1]] = names.get(parts[-1], 0) + 1
-    for p in sorted(paths):
-        if names[p.split("/")[-1]] == 1:
-            out[p.split("/")[-1]] = f"assets/{p}"
-    return out
+    """What each key finds: the file of that name if it is the only one, else the last path that is the key or ends in it."""
+    names = [p.rsplit("/")[-1] for p in paths]
+    ends = {p: {p} | ({"/".join(p.split("/")[-2:])} if "/" in p else set()) for p in paths}
+    found = {}
+    for key in set(names).union(*ends.values()):
+        own = [p for p, n in zip(paths, names) if n == key] if names.count(key) == 1 else [p for p in paths if key in ends[p]]
+        if own:
+            found[key] = f"assets/{max(own)}"
+    return found
 
 
 @pytest.mark.parametrize("paths", [["a/b/x.png", "c/b/x.png", "y.png"], ["x.png", "a/x.png"], ["b/x.png", "a/b/x.png", "a/b/c.png", "c.html"], ["solo.png"]])

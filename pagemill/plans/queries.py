@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.udfs import plain_text
-from ..operators import audit, blocks, integrate, ledger, routing, scoring, segment, semantics, visuals
+from ..operators import audit, blocks, integrate, ledger, package, routing, scoring, segment, semantics, visuals
 from . import adapters as A
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -593,6 +593,61 @@ def clean_package_plan(spark, sf_dir):
     return audit.removals(_entries(spark, sf_dir))
 
 
+def _sources(spark, sf_dir):
+    """Each document as a converted file."""
+    path = F.concat(F.lit("in/"), F.col("doc_id").cast("string"), F.element_at(F.array(*map(F.lit, [".pdf", ".pptx", ".png", ".docx"])), (F.pmod("doc_id", F.lit(4)) + 1).cast("int")))
+    return A.table(spark, sf_dir, "documents").select("doc_id", path.alias("source"), F.lit("docling").alias("engine"), F.lit("research-archive").alias("mode"), F.lit("auto").alias("ocr"), (F.pmod("doc_id", F.lit(30)) + 1).alias("counted"))
+
+
+SOURCES_SQL = "sources AS (SELECT doc_id, 'in/' || doc_id || ['.pdf', '.pptx', '.png', '.docx'][doc_id % 4 + 1] AS source, ['pdf', 'slides', 'image', 'document'][doc_id % 4 + 1] AS kind, ['pages', 'slides', 'images', 'units'][doc_id % 4 + 1] AS unit, CASE doc_id % 4 WHEN 2 THEN 1 WHEN 3 THEN NULL ELSE doc_id % 30 + 1 END AS units FROM documents)"
+
+
+@query(
+    LINKS_SQL
+    + f""", {SOURCES_SQL}, w AS (SELECT doc_id, n, '  - Visual element ' || n || ' requires textual verification: ' || asset AS line FROM links),
+ws AS (SELECT doc_id, '- Warnings: ' || count(*) || ' recorded; see `audit.md` for the full list' || chr(10) || string_agg(line, chr(10) ORDER BY n) FILTER (n <= 8) || CASE WHEN count(*) > 8 THEN chr(10) || '  - ... ' || (count(*) - 8) || ' more warnings omitted from summary' ELSE '' END AS listed FROM w GROUP BY doc_id)
+SELECT doc_id, array_to_string(['# ' || string_split(source, '/')[-1], '', '## Conversion Summary', '', '- Source: `' || source || '`', '- Source type: ' || kind, '- Engine: docling', '- Mode: research-archive', '- OCR preference: auto',
+  '- Expected ' || unit || ': ' || coalesce(units::VARCHAR, 'unknown'), '- Images embedded: no', '', coalesce(listed, '- Warnings: none recorded'), ''], chr(10)) AS summary FROM sources LEFT JOIN ws USING (doc_id)"""
+)
+def conversion_summaries(spark, sf_dir):
+    return package.conversion_summary(_sources(spark, sf_dir), visuals.warnings(_links(spark, sf_dir)))
+
+
+@query(
+    STATUS_SQL
+    + f""", {SOURCES_SQL}, counts AS (SELECT doc_id, status, count(*) AS n FROM rated GROUP BY ALL), told AS (SELECT doc_id, sum(n) AS total, string_agg(status || '=' || n, ',' ORDER BY status) AS statuses FROM counts GROUP BY doc_id),
+a AS (SELECT doc_id, count(*) AS n FROM assets GROUP BY doc_id), l AS (SELECT doc_id, count(*) AS n FROM links GROUP BY doc_id)
+SELECT s.doc_id, source, kind AS source_type, unit, units::BIGINT AS units, coalesce(a.n, 0)::INT AS assets, coalesce(l.n, 0)::INT AS warnings, coalesce(total, 0)::BIGINT AS visuals, coalesce(statuses, '') AS statuses
+FROM sources s LEFT JOIN told USING (doc_id) LEFT JOIN a USING (doc_id) LEFT JOIN l USING (doc_id)"""
+)
+def structure_records(spark, sf_dir):
+    attempts = _sources(spark, sf_dir).select("doc_id", F.lit(0).alias("attempt_no"), "engine", F.lit(0).alias("returncode"))
+    records = package.structure_records(_sources(spark, sf_dir), A.assets(spark, sf_dir), visuals.warnings(_links(spark, sf_dir)), attempts)
+    told = package.with_visual_record(records, _rated(spark, sf_dir), "content.visual.md", "visual.jsonl", "visual.md")
+    statuses = F.array_join(F.transform(F.map_entries("visual_description.status_counts"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
+    return told.select("doc_id", "source", "source_type", F.col("expected_units.kind").alias("unit"), F.col("expected_units.count").alias("units"), F.size("assets").alias("assets"), F.size("warnings").alias("warnings"), F.col("visual_description.total").alias("visuals"), statuses.alias("statuses"))
+
+
+@query(
+    ROUTED_SQL
+    + """, counts AS (SELECT doc_id, status, count(*) AS n FROM finished GROUP BY ALL), told AS (SELECT doc_id, string_agg(status || '=' || n, ', ' ORDER BY status || '=' || n) AS statuses FROM counts GROUP BY doc_id)
+SELECT doc_id, '# Routed Markdown Audit' || chr(10) || chr(10) || '- Sensitivity: 100' || chr(10) || '- Risk threshold: 0' || chr(10) || '- Pages: ' || count(*) || chr(10) || '- Statuses: ' || any_value(statuses) || chr(10) || chr(10) || '## Pages' || chr(10) || chr(10)
+  || string_agg('- Page ' || page || ': route=' || route || '; status=' || status || '; score=' || score || '; novel_numbers=none', chr(10) ORDER BY page) || chr(10) AS report FROM finished JOIN told USING (doc_id) GROUP BY doc_id"""
+)
+def routed_reports(spark, sf_dir):
+    return package.routed_report(_routed(spark, sf_dir), 100)
+
+
+@query(
+    OVERLAY_SQL
+    + """ SELECT doc_id, '# Integrated Markdown Audit' || chr(10) || chr(10) || '- Integrated pages: ' || count(*) FILTER (status = 'integrated') || chr(10) || chr(10) || '## Pages' || chr(10) || chr(10)
+  || string_agg('- Page ' || page || ': ' || status || '; risk_flags=' || CASE WHEN answer IS NOT NULL AND (numbers >= 25 OR tables >= 2 OR page IN (4, 6, 8)) THEN array_to_string(list_filter([CASE WHEN numbers >= 25 THEN 'many_numeric_values:' || numbers END, CASE WHEN tables >= 2 THEN 'dense_tables' END, CASE WHEN page IN (4, 6, 8) THEN 'sample_review_page' END], lambda x: x IS NOT NULL), ', ') ELSE 'none' END, chr(10) ORDER BY ord) || chr(10) AS report
+FROM o WHERE page IS NOT NULL GROUP BY doc_id"""
+)
+def integration_reports(spark, sf_dir):
+    return package.integration_report(_overlay(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tokens import groups
+from .worker import keep
 
 RATE = 0.2
 MIN_WORDS = 8
@@ -219,17 +220,10 @@ class Index:
         return [(d, item, at, distance) for (d, item), (distance, at) in sorted(best.items())]
 
 
-_indexes: dict[int, Index] = {}
-
-
 def _index(shared, *options) -> Index:
-    """This worker's index of a block of items; one at a time."""
+    """This worker's index of a block of items."""
     items = shared.value
-    key = hash((tuple(items), options))
-    if key not in _indexes:
-        _indexes.clear()
-        _indexes[key] = Index(items, *options)
-    return _indexes[key]
+    return keep(("index", hash(tuple(items)), options), lambda: Index(items, *options))
 
 
 def blocks_of(benchmark: DataFrame, item_col: str, text_col: str, most: int) -> Iterator[list[tuple]]:

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from .shingles import mix
 from .tokens import groups
+from .worker import drop, keep
 
 SAMPLE_TEXTS = 400
 ROUNDS = 3
@@ -65,42 +66,80 @@ def words_of(text: str) -> list[str]:
     return text.lower().split()
 
 
-def spans(word: str, number: dict[str, int], unknown: int) -> list[list[tuple[int, int]]]:
-    """For each end in the marked word, the (start, piece) that reach it; a character that no piece holds is ``unknown``."""
-    marked, out = SPACE + word, []
-    for end in range(1, len(marked) + 1):
-        found = [(start, number[p]) for start in range(max(0, end - MAX_PIECE), end) if (p := marked[start:end]) in number]
-        if not any(start == end - 1 for start, _ in found):
-            found.append((end - 1, unknown))
-        out.append(found)
-    return out
+class Lattice:
+    """Finds the pieces within words, for many words at once, by rolling hashes."""
 
+    def __init__(self, vocabulary: list[str]):
+        self.unknown = len(vocabulary)  # stands for a character that no piece holds
+        chars, size = self._chars(vocabulary)
+        sums, down = self._prefixes(chars)
+        end = np.cumsum(size)
+        keys = (sums[end] - sums[end - size]) * down[end - size]
+        self.order = np.argsort(keys)
+        self.keys = keys[self.order]
+
+    @staticmethod
+    def _chars(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32), np.fromiter(map(len, words), np.int64, len(words))
+
+    @staticmethod
+    def _prefixes(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sums of a polynomial hash over ``chars``, and the factors that shift a stretch back to its start."""
+        sums = np.zeros(len(chars) + 1, np.uint64)
+        up = np.full(len(chars) + 1, _BASE, np.uint64)
+        down = np.full(len(chars) + 1, pow(_BASE, -1, 1 << 64), np.uint64)
+        up[0] = down[0] = 1
+        up, down = np.multiply.accumulate(up), np.multiply.accumulate(down)
+        np.cumsum(mix(chars.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
+        return sums, down
+
+    def edges(self, words: list[str]) -> tuple[np.ndarray, list[tuple[int, int, np.ndarray, np.ndarray]]]:
+        """The marked words' sizes, and (end, length, words, pieces): which words have which piece there, by rising end."""
+        chars, size = self._chars([SPACE + w for w in words])
+        begin = np.cumsum(size) - size
+        sums, down = self._prefixes(chars)
+        out = []
+        for end in range(1, int(size.max()) + 1 if len(size) else 1):
+            active = np.flatnonzero(size >= end)
+            at = begin[active] + end
+            for length in range(1, min(end, MAX_PIECE) + 1):
+                key = (sums[at] - sums[at - length]) * down[at - length]
+                place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                right = self.keys[place] == key
+                if length == 1:
+                    out.append((end, 1, active, np.where(right, self.order[place], self.unknown)))
+                elif right.any():
+                    out.append((end, length, active[right], self.order[place[right]]))
+        return size, out
+
+
+def forward(size: np.ndarray, edges, prob: np.ndarray) -> np.ndarray:
+    """ahead[end, word, ...]: the sum over all segmentations of the word's first ``end`` characters.  prob: piece -> number(s)."""
+    ahead = np.zeros((int(size.max()) + 1, len(size), *prob.shape[1:]))
+    ahead[0] = 1.0
+    for end, length, own, piece in edges:
+        ahead[end, own] += ahead[end - length, own] * prob[piece]
+    return ahead
 
-def fit(counts: dict[str, int], number: dict[str, int], rounds: int = ROUNDS) -> np.ndarray:
+
+def fit(counts: dict[str, int], vocabulary: list[str], rounds: int = ROUNDS) -> np.ndarray:
     """Piece probabilities (the last is that of an unknown character) from word counts, by expectation-maximisation."""
-    unknown = len(number)
-    lattices = [(n, spans(w, number, unknown)) for w, n in counts.items()]
+    n, words = np.fromiter(counts.values(), float, len(counts)), np.arange(len(counts))
+    size, edges = Lattice(vocabulary).edges(list(counts))
     # longer pieces are likelier to be words' own parts, so the first segmentations favour them
-    prob = np.array([2.0 ** len(p) for p in number] + [1.0])
+    prob = np.array([2.0 ** len(p) for p in vocabulary] + [1.0])
     prob /= prob.sum()
-    for _ in range(rounds):
-        p = prob.tolist()
-        expected = np.zeros(unknown + 1)
-        for n, lattice in lattices:
-            size = len(lattice)
-            ahead = [1.0] + [0.0] * size
-            for end, found in enumerate(lattice, 1):
-                ahead[end] = sum(ahead[start] * p[k] for start, k in found)
-            if ahead[size] < 1e-280:  # too long for the range of a double; it tells little
-                continue
-            back = [0.0] * size + [1.0]
-            for end in range(size, 0, -1):
-                for start, k in lattice[end - 1]:
-                    back[start] += p[k] * back[end]
-            whole = n / ahead[size]
-            for end, found in enumerate(lattice, 1):
-                for start, k in found:
-                    expected[k] += whole * ahead[start] * p[k] * back[end]
+    for _ in range(rounds if len(words) else 0):
+        ahead = forward(size, edges, prob)
+        whole = ahead[size, words]
+        # words too long for the range of a double tell little
+        weight = np.divide(n, whole, out=np.zeros_like(n), where=whole > 1e-280)
+        back, expected = np.zeros_like(ahead), np.zeros(len(prob))
+        back[size, words] = 1.0
+        for end, length, own, piece in reversed(edges):
+            share = back[end, own] * prob[piece]
+            back[end - length, own] += share
+            expected += np.bincount(piece, weight[own] * ahead[end - length, own] * share, len(prob))
         prob = expected + 0.05
         prob /= prob.sum()
     return prob
@@ -124,56 +163,18 @@ class Scorer:
 
     def __init__(self, vocabulary: list[str], probabilities: np.ndarray):
         self.number = {p: i for i, p in enumerate(vocabulary)}
+        self.lattice = Lattice(vocabulary)
         self.prob = np.ascontiguousarray(probabilities.T)  # piece -> a probability for each language
         self.n = probabilities.shape[0]
-        keys = self._keys(vocabulary)
-        self.order = np.argsort(keys)
-        self.keys = keys[self.order]
         self._reset()
 
     def _reset(self) -> None:
         self.rows, self.logs = _Rows(), np.zeros((0, self.n))
 
-    @staticmethod
-    def _prefixes(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Sums of a polynomial hash over ``chars``, and the factors that shift a stretch back to its start."""
-        sums = np.zeros(len(chars) + 1, np.uint64)
-        up = np.full(len(chars) + 1, _BASE, np.uint64)
-        down = np.full(len(chars) + 1, pow(_BASE, -1, 1 << 64), np.uint64)
-        up[0] = down[0] = 1
-        up, down = np.multiply.accumulate(up), np.multiply.accumulate(down)
-        np.cumsum(mix(chars.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
-        return sums, down
-
-    def _keys(self, words: list[str]) -> np.ndarray:
-        sums, down = self._prefixes(np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32))
-        size = np.fromiter(map(len, words), np.int64, len(words))
-        end = np.cumsum(size)
-        return (sums[end] - sums[end - size]) * down[end - size]
-
     def forward(self, words: list[str]) -> np.ndarray:
-        """Each word's log-likelihoods; all words advance by one character at a time.  Words of up to LONG characters."""
-        marked = [SPACE + w for w in words]
-        size = np.fromiter(map(len, marked), np.int64, len(marked))
-        begin = np.cumsum(size) - size
-        sums, down = self._prefixes(np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32))
-        longest = int(size.max())
-        ahead = np.zeros((longest + 1, len(words), self.n))
-        ahead[0] = 1.0
-        for end in range(1, longest + 1):
-            active = np.flatnonzero(size >= end)
-            at = begin[active] + end
-            for length in range(1, min(end, MAX_PIECE) + 1):
-                key = (sums[at] - sums[at - length]) * down[at - length]
-                place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-                right = self.keys[place] == key
-                piece = self.order[place[right]]
-                own = active[right]
-                ahead[end, own] += ahead[end - length, own] * self.prob[piece]
-                if length == 1 and not right.all():
-                    own = active[~right]
-                    ahead[end, own] += ahead[end - 1, own] * self.prob[-1]
-        return np.log(ahead[size, np.arange(len(words))])
+        """Each word's log-likelihoods.  Words of up to LONG characters."""
+        size, edges = self.lattice.edges(words)
+        return np.log(forward(size, edges, self.prob)[size, np.arange(len(words))])
 
     def long_word(self, word: str) -> np.ndarray:
         """The same for one word of any length, with the sums kept in range."""
@@ -203,8 +204,8 @@ class Scorer:
         logs = np.zeros((len(at) + 1, self.n))  # the last is for words of marks only
         words = np.array(list(at), object)
         short = np.array([len(w) <= LONG for w in words], bool)
-        for first in range(0, len(words), 20_000):
-            chosen = np.flatnonzero(short[first : first + 20_000]) + first
+        for first in range(0, len(words), 10_000):
+            chosen = np.flatnonzero(short[first : first + 10_000]) + first
             if len(chosen):
                 logs[chosen] = self.forward(words[chosen].tolist())
         for k in np.flatnonzero(~short):
@@ -251,6 +252,7 @@ def train(docs: DataFrame, learn: Column, id_col: str, text_col: str, lang_col:
     """Language -> piece probabilities."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop()
         found: dict[str, Counter] = defaultdict(Counter)
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -261,15 +263,14 @@ def train(docs: DataFrame, learn: Column, id_col: str, text_col: str, lang_col:
     def fit_one(key, frame):
         import pandas as pd
 
-        number = {p: i for i, p in enumerate(pieces(vocabulary))}
-        prob = fit(dict(zip(frame["word"], frame["n"], strict=True)), number, rounds)
+        prob = fit(dict(zip(frame["word"], frame["n"], strict=True)), pieces(vocabulary), rounds)
         return pd.DataFrame({"lang": [key[0]], "prob": [prob]})
 
     words = sample(docs, learn, most, id_col, text_col, lang_col).mapInArrow(count, "lang string, word string, n long")
     words = words.groupBy("lang", "word").agg(F.sum("n").alias("n"))
     fitted = words.groupBy("lang").applyInPandas(fit_one, "lang string, prob array<double>")
     # one row a language, one number a piece
-    return {r.lang: list(r.prob) for r in fitted.orderBy("lang").collect()}
+    return {r.lang: list(r.prob) for r in fitted.collect()}
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -329,13 +330,6 @@ def keep_identified(
     return docs.mapInArrow(keep, docs.schema)
 
 
-_scorers: dict[int, Scorer] = {}
-
-
 def _scorer(shared, vocabulary: str) -> Scorer:
-    """This worker's scorer of a model; one at a time."""
-    key = hash((shared.value.tobytes(), vocabulary))
-    if key not in _scorers:
-        _scorers.clear()
-        _scorers[key] = Scorer(pieces(vocabulary), shared.value)
-    return _scorers[key]
+    """This worker's scorer of a model."""
+    return keep(("scorer", hash(shared.value.tobytes()), vocabulary), lambda: Scorer(pieces(vocabulary), shared.value))

@@ -37,6 +37,7 @@ from .common import materialize
 from .components import components
 from .shingles import Shingler, mix
 from .tokens import groups
+from .worker import drop
 
 COORDINATES = 32
 #: Postings of a list up to which candidate pairs are written out.
@@ -51,6 +52,7 @@ def signatures(docs: DataFrame, width: int, coordinates: int, id_col: str, text_
     """doc_id, n_shingles, digest (null if nothing can be linked) and keys, for each row."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop()
         shingler = Shingler(width)
         draw = np.random.default_rng(20_111)
         factors = draw.integers(1 << 62, size=(2, coordinates), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -86,6 +88,7 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
     """doc_id and its whole shingle set, of docs (doc_id, text)."""
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop()
         shingler = Shingler(width)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]

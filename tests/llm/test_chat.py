@@ -47,6 +47,7 @@ def test_decoding_in_parts_is_decoding_the_whole():
 def test_roles_are_recovered_and_texts_kept(spark):
     rows = [(c, t, *turn) for c in (1, 2, None) for t, turn in enumerate(TURNS)]
     rows += [(3, t, ("user", "assistant")[t % 2], f"line {t}\nnext?") for t in range(400)]  # one long conversation
+    rows += [(4, 0, "user", "x" * 300_000), (4, 1, "assistant", "y\n" * 20_000)]
     rows += rows[:5]  # repeats
     found = chat.format_chats(table_of(spark, rows)).collect()
     by_turn = {}

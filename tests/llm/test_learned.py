@@ -36,27 +36,28 @@ def test_forward_sums_over_all_segmentations():
 
 def test_fit_raises_the_likelihood():
     vocabulary = sorted({"▁t", "▁th", "the", "he", "e", "t", "h", "▁", "n", "en", "▁the", "th"})
-    number, counts = {p: i for i, p in enumerate(vocabulary)}, {"the": 9, "then": 4, "hen": 2, "ten": 1}
+    counts = {"the": 9, "then": 4, "hen": 2, "ten": 1}
     score = lambda p: sum(n * langid.Scorer(vocabulary, p[None]).long_word(w)[0] for w, n in counts.items())
-    scores = [score(langid.fit(counts, number, r)) for r in (1, 2, 4, 8)]
-    assert scores[-1] > scores[0]
+    scores = [score(langid.fit(counts, vocabulary, r)) for r in (1, 2, 4, 8)]
+    assert scores == sorted(scores) and scores[-1] > scores[0]
 
 
 def test_held_out_accuracy_and_defined_results(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    odd = spark.createDataFrame([(10**9, None, "en", "x", 0), (10**9 + 1, "", None, "x", 0), (10**9 + 2, "123 ... --", "de", "x", 0), (None, "the", None, "x", 0)], docs.schema)
+    odd = spark.createDataFrame([(10**9, None, "en", "x", 0), (10**9 + 1, "", None, "x", 0), (10**9 + 2, "123 ... --", "de", "x", 0), (None, "the", None, "x", 0), (10**9 + 4, "the and of " * 200_000, "en", "x", 0), (10**9 + 5, "the " + "x" * 100_000, None, "x", 0)], docs.schema)
     both = docs.unionByName(odd).selectExpr("*", "0 AS held_out", "'x' AS lang_pred", "1 AS r", "1 AS o")
     rows = langid.language_id(both).collect()
-    assert len(rows) == 1004
+    assert len(rows) == 1006
     truth = {r.doc_id: r.lang for r in docs.collect()}
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows if r.doc_id is not None)
     apart = [r for r in rows if r.held_out and r.doc_id in truth]
     assert sum(r.lang_pred == truth[r.doc_id] for r in apart) / len(apart) > 0.95
     by_id = {r.doc_id: r for r in rows}
     assert all((by_id[10**9 + k].lang_pred, by_id[10**9 + k].score) == ("und", 0.0) for k in range(3))
+    assert by_id[10**9 + 4].lang_pred == "en" and by_id[10**9 + 5].lang_pred in set(truth.values())
     assert all(0 <= r.score <= 1 for r in rows) and by_id[None].lang_pred in set(truth.values())
     kept = langid.keep_identified(both)
-    assert kept.columns == both.columns and kept.count() == 1001
+    assert kept.columns == both.columns and kept.count() == 1003
     relabelled = both.withColumn("lang", both["lang"].substr(1, 0))
     assert langid.language_id(relabelled.where("lang IS NULL")).select("lang_pred").distinct().collect() == [("und",)]
     assert langid.language_id(both.limit(0)).count() == 0
@@ -110,7 +111,7 @@ def test_recall_and_precision_against_brute_force(spark):
             words[at:at] = edited(own, draw.randrange(math.floor(0.2 * len(own)) + 1), draw, vocabulary)
             planted[n] = item
         docs.append((n, draw.choice([" ", "\n"]).join(w.upper() + draw.choice(["", ".", ","]) for w in words)))
-    docs += [(1000, None), (1001, ""), (1002, "- -- ."), (1003, "few words"), (None, " ".join(items[0][1]))]
+    docs += [(1000, None), (1001, ""), (1002, "- -- ."), (1003, "few words"), (None, " ".join(items[0][1])), (1004, "long " * 200_000 + " ".join(items[1][1]))]
     want = {(i, k) for i, t in docs for k, own in items if len(own) >= 8 and distance(own, [w for w in map(decontaminate.plain, (t or "").split()) if w]) <= math.floor(0.2 * len(own))}
     assert all((n, k) in want for n, k in planted.items())
     frame = spark.createDataFrame([(i, t, 1, "x", 2) for i, t in docs], "doc_id long, text string, item_id int, at_word string, edits int").repartition(4)

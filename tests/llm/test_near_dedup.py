@@ -43,7 +43,7 @@ def all_pairs(pairs, width, percent):
 def corpus(seed):
     draw = random.Random(seed)
     vocabulary = [f"w{k}" for k in range(400)]
-    pairs = [(900, None), (901, ""), (902, " \n"), (903, "One"), (904, "one"), (905, "two words"), (906, "TWO\tWORDS"), (907, "words two"), (None, "two words"), (None, None), (903, "one")]
+    pairs = [(900, None), (901, ""), (902, " \n"), (903, "One"), (904, "one"), (905, "two words"), (906, "TWO\tWORDS"), (907, "words two"), (None, "two words"), (None, None), (903, "one"), (908, "long " * 200_000), (909, "LONG " * 150_000)]
     n = 0
     for _ in range(25):
         base = [draw.choice(vocabulary) for _ in range(draw.choice([8, 40, 150, 600]))]

@@ -75,3 +75,22 @@ def test_an_empty_table_runs_through(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, "/root/testdata/sf0.001")
     assert docs.count() == 0
+
+
+def test_odd_rows_run_through(spark):
+    """Nulls, repeats, long texts and columns of other names: a defined result at every stage."""
+    text = lambda seed, n: " ".join(f"{seed}{k}" for k in range(n))
+    rows = [
+        (1, text("a", 60), "en"), (2, text("a", 60).replace(" ", "\n"), None), (3, text("a", 59) + " end", "en"), (4, None, "en"), (5, "", None), (6, "12 ,.", "de"),
+        (7, text("b", 40), None), (7, text("b", 40), None), (None, text("c", 40), "fr"), (None, None, None), (8, "word " * 150_000, "en"), (9, "short", "de"),
+    ]
+    schema = "doc_id long, text string, lang string, digest string, label int, keys string, component_id long, part int, ids string"
+    docs = spark.createDataFrame([(*r, None, None, None, None, None, None) for r in rows], schema).repartition(3)
+    want = [{1, 2, 3, 7, 8, 9, None}, {1, 3, 7, 8, 9, None}, {1, 7, 8, 9, None}, {1, 7, 8, 9, None}]
+    for (name, stage), ids in zip(corpus_pipeline.STAGES[:-1], want, strict=True):
+        docs = stage(spark, docs, "/root/testdata/sf0.001")
+        found = [r.doc_id for r in docs.collect()]
+        assert set(found) == ids, name
+        assert len(found) == len(ids) + (name == "language_id")
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, "/root/testdata/sf0.001")
+    assert {r.doc_id for r in pieces.select("doc_id").collect()} == {1, 7, 8, 9, None}

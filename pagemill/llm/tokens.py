@@ -17,6 +17,8 @@ import re
 
 import numpy as np
 
+from .worker import keep
+
 #: White space after white space, or a mark after what is no letter or digit: such texts are cut with care.
 _ODD = re.compile(r"[.,\s](?<=[\W_][.,]|\s\s)")
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
@@ -25,7 +27,7 @@ _INNER = re.compile(r"(?<!\A)\s|\A[^\S ]|\A \Z|\A\Z")
 #: Units that are encoded in one call.
 _TOGETHER = 256
 
-#: Units remembered by a worker before it starts anew, so that memory has a bound.
+#: Units remembered by a worker before it forgets those that were used once, so that memory has a bound.
 MAX_UNITS = 600_000
 
 
@@ -60,6 +62,23 @@ class Encoder:
         self.flat = np.zeros(0, np.uint32)
         self.start = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int64)
+        self.used = np.zeros(0, np.int64)
+
+    def _forget(self) -> None:
+        """Keeps the units that were used more than once, at most half of what there is room for."""
+        order = np.argsort(-self.used, kind="stable")[: self.max_units // 2]
+        kept = np.sort(order[self.used[order] > 1])
+        number = np.full(len(self.count), -1, np.int64)
+        number[kept] = np.arange(len(kept))
+        old, count = (self.plain, self.spaced), self.count[kept]
+        flat = self.flat[np.repeat(self.start[kept] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))]
+        # halved, so that what is no longer used goes in time
+        used = self.used[kept] // 2
+        self._reset()
+        self.start, self.count, self.flat, self.used = np.cumsum(count) - count, count, flat, used
+        listed = number.tolist()
+        for new, places in zip((self.plain, self.spaced), old, strict=True):
+            new.update((unit, listed[n]) for unit, n in places.items() if listed[n] >= 0)
 
     def _numbers(self, text: str) -> np.ndarray:
         if _ODD.search(text):
@@ -111,13 +130,16 @@ class Encoder:
         self.start = np.concatenate([self.start, start])
         self.flat = np.concatenate([self.flat, own])
         self.count = np.concatenate([self.count, count])
+        self.used = np.concatenate([self.used, np.zeros(len(count), np.int64)])
 
     def encode(self, texts: list[str], end_id: int | None = None) -> list[np.ndarray]:
         """The ids of each text as uint32, with ``end_id`` after them if given."""
         if len(self.count) > self.max_units:
-            self._reset()
+            self._forget()
         numbers = [self._numbers(t) for t in texts]
         self._learn()
+        if numbers:
+            self.used += np.bincount(np.concatenate(numbers), minlength=len(self.used))
         out = []
         for n in numbers:
             count = self.count[n]
@@ -132,14 +154,9 @@ class Encoder:
         return out
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """This worker's encoder."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    return keep(("encoder", path), lambda: Encoder(path))
 
 
 def default_path() -> str:

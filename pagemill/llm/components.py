@@ -21,7 +21,7 @@ def _star(pairs: DataFrame, small: bool) -> DataFrame:
         out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
     else:
         out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return out.where("u <> v").distinct()
+    return out.where("u <> v")
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -29,10 +29,9 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     pairs = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     while True:
         # pairs run from the larger node to the smaller; both stars keep them so
-        pairs = materialize(_star(_star(pairs, small=False), small=True), name)
+        pairs = materialize(_star(_star(pairs, small=False), small=True).distinct(), name)
         # done when every node has one root and no root has one
-        roots = pairs.select(F.col("v").alias("u")).distinct()
-        twice = pairs.groupBy("u").agg(F.min("v").alias("low"), F.max("v").alias("high")).where("low <> high").select("u")
-        if twice.unionByName(pairs.select("u").join(roots, "u", "left_semi")).isEmpty():
+        ends = pairs.select(F.col("u").alias("node"), F.lit(1).alias("below"), F.lit(0).alias("root")).unionByName(pairs.select(F.col("v").alias("node"), F.lit(0).alias("below"), F.lit(1).alias("root")))
+        if ends.groupBy("node").agg(F.sum("below").alias("below"), F.max("root").alias("root")).where("below + root > 1").isEmpty():
             break
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component"))

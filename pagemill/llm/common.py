@@ -33,6 +33,17 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+#: Rows of an Arrow batch that goes to Python: what a worker holds at once has a bound with long texts, too.
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lowers the session's rows an Arrow batch to ``BATCH_ROWS``, unless it has fewer."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage and survives lost executors."""
     path = new_path(df.sparkSession, name)

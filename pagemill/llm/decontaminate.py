@@ -35,7 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import groups
+from .common import bounded_batches
+from .tokens import text_parts
 from .worker import keep
 
 RATE = 0.2
@@ -257,6 +258,7 @@ def contamination(
     item_text_col: str = "text",
 ) -> DataFrame:
     """One row a document and item it holds: doc_id, item_id, at_word, n_words (the item's), edits."""
+    bounded_batches(docs.sparkSession)
     spark, options = docs.sparkSession, _options(rate, min_words, coordinates, target_recall)
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     item_type = dict(benchmark.dtypes)[item_col]
@@ -266,10 +268,9 @@ def contamination(
         def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = _index(shared, *options)
             for batch in batches:
-                texts = [t or "" for t in batch.column(1).to_pylist()]
-                for first, end in groups(texts, 1_500_000):
-                    hits = index.hits(texts[first:end])
-                    docs_hit = batch.column(0).take(pa.array([first + h[0] for h in hits], pa.int64()))
+                for _, part, texts in text_parts(batch):
+                    hits = index.hits([t or "" for t in texts])
+                    docs_hit = part.column(0).take(pa.array([h[0] for h in hits], pa.int64()))
                     items = pa.array([index.ids[h[1]] for h in hits])
                     counts = [pa.array(c, pa.int64()) for c in ([h[2] for h in hits], [index.size[h[1]] for h in hits], [h[3] for h in hits])]
                     if hits:
@@ -286,15 +287,16 @@ def contamination(
 
 def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, min_words: int = MIN_WORDS, coordinates: int = COORDINATES, target_recall: float = TARGET_RECALL, items_a_block: int = ITEMS_A_BLOCK, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The documents that hold no item, as they came; nothing is shuffled."""
+    bounded_batches(docs.sparkSession)
     spark, options, at = docs.sparkSession, _options(rate, min_words, coordinates, target_recall), docs.columns.index(text_col)
 
     def keeper(shared):
         def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = _index(shared, *options)
             for batch in batches:
-                texts, stays = [t or "" for t in batch.column(at).to_pylist()], np.ones(batch.num_rows, bool)
-                for first, end in groups(texts, 1_500_000):
-                    stays[[first + h[0] for h in index.hits(texts[first:end])]] = False
+                stays = np.ones(batch.num_rows, bool)
+                for first, _, texts in text_parts(batch, at):
+                    stays[[first + h[0] for h in index.hits([t or "" for t in texts])]] = False
                 yield batch.filter(pa.array(stays))
 
         return keep

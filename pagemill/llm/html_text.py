@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded_batches
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 HIDDEN = frozenset("head script style template noscript title iframe noembed noframes datalist".split())
@@ -304,5 +306,6 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -
                     ["page_id", "text", "n_chars", "n_lines"],
                 )
 
+    bounded_batches(pages.sparkSession)
     rows = pages.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{html_col}`").cast("string").alias("html"))
     return rows.mapInArrow(run, f"page_id {dict(rows.dtypes)['page_id']}, text string, n_chars long, n_lines long")

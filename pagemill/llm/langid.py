@@ -28,8 +28,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import bounded_batches
 from .shingles import mix
-from .tokens import groups
+from .tokens import text_parts
 from .worker import drop, keep
 
 SAMPLE_TEXTS = 400
@@ -228,10 +229,9 @@ def predictions(scorer: Scorer | None, names: list[str], texts: list[str | None]
         return best, score
     able = [k for k, t in enumerate(texts) if t is not None and _LETTER.search(t)]
     chosen = [texts[k] for k in able]
-    for first, end in groups(chosen, 2_000_000):
-        for k, (total, n) in zip(able[first:end], scorer.texts(chosen[first:end]), strict=True):
-            odds = np.exp((total - total.max()) / math.sqrt(n))
-            best[k], score[k] = names[int(total.argmax())], float(odds.max() / odds.sum())
+    for k, (total, n) in zip(able, scorer.texts(chosen) if chosen else (), strict=True):
+        odds = np.exp((total - total.max()) / math.sqrt(n))
+        best[k], score[k] = names[int(total.argmax())], float(odds.max() / odds.sum())
     return best, score
 
 
@@ -279,6 +279,7 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def _model(docs, id_col, text_col, lang_col, vocabulary, sample_texts, rounds):
+    bounded_batches(docs.sparkSession)
     vocabulary = vocabulary or default_vocabulary()
     model = train(docs, ~held_out(id_col), id_col, text_col, lang_col, vocabulary, sample_texts, rounds)
     names = sorted(model)
@@ -301,8 +302,9 @@ def language_id(
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(shared, vocabulary) if shared else None
         for batch in batches:
-            best, score = predictions(scorer, names, batch.column(2).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(best, pa.string()), pa.array(score, pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
+            for _, part, texts in text_parts(batch, 2):
+                best, score = predictions(scorer, names, texts)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(best, pa.string()), pa.array(score, pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), apart.alias("held_out"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return rows.mapInArrow(predict, f"doc_id {dict(rows.dtypes)['doc_id']}, held_out boolean, lang_pred string, score double")
@@ -324,8 +326,9 @@ def keep_identified(
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(shared, vocabulary) if shared else None
         for batch in batches:
-            best, _ = predictions(scorer, names, batch.column(at).to_pylist())
-            yield batch.filter(pa.array([b != "und" for b in best], pa.bool_()))
+            for _, part, texts in text_parts(batch, at):
+                best, _ = predictions(scorer, names, texts)
+                yield part.filter(pa.array([b != "und" for b in best], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
 

@@ -33,10 +33,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import bounded_batches, materialize
 from .components import components
 from .shingles import Shingler, mix
-from .tokens import groups
+from .tokens import text_parts
 from .worker import drop
 
 COORDINATES = 32
@@ -57,12 +57,12 @@ def signatures(docs: DataFrame, width: int, coordinates: int, id_col: str, text_
         draw = np.random.default_rng(20_111)
         factors = draw.integers(1 << 62, size=(2, coordinates), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for first, end in groups(texts, 250_000):
-                hashes, count = shingler.shingles(texts[first:end])
+            for _, part, texts in text_parts(batch, most=250_000):
+                ids, rows = part.column(0).to_pylist(), len(texts)
+                hashes, count = shingler.shingles([t or "" for t in texts])
                 ends = np.cumsum(count)
                 full = np.flatnonzero(count)
-                keys = np.zeros((end - first, coordinates), np.uint64)
+                keys = np.zeros((rows, coordinates), np.uint64)
                 if len(full):
                     room = np.empty_like(hashes)
                     for k in range(coordinates):
@@ -71,14 +71,14 @@ def signatures(docs: DataFrame, width: int, coordinates: int, id_col: str, text_
                         keys[full, k] = np.minimum.reduceat(room, (ends - count)[full])
                     keys = mix(keys ^ factors[1])
                 n, digests = [], []
-                for i in range(end - first):
+                for i in range(rows):
                     own = np.sort(hashes[ends[i] - count[i] : ends[i]])
                     own = own[np.concatenate([[True], own[1:] != own[:-1]])] if len(own) else own
                     n.append(len(own))
-                    digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) and ids[first + i] is not None else None)
-                offsets = pa.array(np.arange(0, (end - first) * coordinates + 1, coordinates, dtype=np.int32))
+                    digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) and ids[i] is not None else None)
+                offsets = pa.array(np.arange(0, rows * coordinates + 1, coordinates, dtype=np.int32))
                 listed = pa.ListArray.from_arrays(offsets, pa.array(keys.ravel().view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), listed], ["doc_id", "n_shingles", "digest", "keys"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), listed], ["doc_id", "n_shingles", "digest", "keys"])
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return rows.mapInArrow(sign, "doc_id long, n_shingles long, digest binary, keys array<long>")
@@ -91,12 +91,11 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
         drop()
         shingler = Shingler(width)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for first, end in groups(texts, 250_000):
-                hashes, count = shingler.shingles(texts[first:end])
+            for _, part, texts in text_parts(batch, most=250_000):
+                hashes, count = shingler.shingles([t or "" for t in texts])
                 ends = np.cumsum(count)
                 own = [np.unique(hashes[e - c : e]).view(np.int64) for e, c in zip(ends, count, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array(own, pa.list_(pa.int64()))], ["doc_id", "held"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(own, pa.list_(pa.int64()))], ["doc_id", "held"])
 
     return docs.mapInArrow(collect, "doc_id long, held array<long>")
 
@@ -141,6 +140,7 @@ def near_duplicates(
     text_col: str = "text",
 ) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id, kept.  Links: 100 * intersection >= percent * union."""
+    bounded_batches(docs.sparkSession)
     matches = least_matches(percent / 100, coordinates)
     signed = materialize(signatures(docs, width, coordinates, id_col, text_col), "signatures")
     classes = signed.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))

@@ -26,8 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
-from .tokens import default_path, encoder, groups
+from .common import bounded_batches, materialize
+from .tokens import default_path, encoder, text_parts
 
 SEQ_LEN = 2048
 END_ID = 1
@@ -40,17 +40,17 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id"
         enc, part, before = encoder(tokenizer), TaskContext.get().partitionId(), 0
         kind = "<u2" if max(enc.vocab - 1, end_id) < 1 << 16 else "<u4"
         for batch in batches:
-            doc_ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
-            for first, end in groups(texts):
-                ids = enc.encode(texts[first:end], end_id)
+            for _, rows, texts in text_parts(batch):
+                ids = enc.encode([t or "" for t in texts], end_id)
                 count = np.fromiter(map(len, ids), np.int64, len(ids))
                 starts = before + np.cumsum(count) - count
                 before += int(count.sum())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(ids), part, np.int64)), pa.array(starts), doc_ids.slice(first, end - first), pa.array(count), pa.array([i.astype(kind).tobytes() for i in ids], pa.binary())],
+                    [pa.array(np.full(len(ids), part, np.int64)), pa.array(starts), rows.column(0), pa.array(count), pa.array([i.astype(kind).tobytes() for i in ids], pa.binary())],
                     ["part", "before", "doc_id", "n_tokens", "ids"],
                 )
 
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return rows.mapInArrow(encode, "part long, before long, doc_id long, n_tokens long, ids binary")
 

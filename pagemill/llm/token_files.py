@@ -29,8 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, new_path
-from .tokens import default_path, encoder, groups
+from .common import bounded_batches, materialize, new_path
+from .tokens import default_path, encoder, text_parts
 
 SEQ_LEN = 2048
 END_ID = 2
@@ -143,17 +143,17 @@ def write_token_files(
             out = SequenceWriter(tokens, seq_len, wide=max(enc.vocab - 1, end_id) >= 1 << 16)
             with pa.ipc.new_file(listed, index) as documents:
                 for batch in _chain(first, batches):
-                    texts = [t or "" for t in batch.column(1).to_pylist()]
-                    for a, b in groups(texts):
-                        ids = enc.encode(texts[a:b], end_id)
+                    for _, rows, texts in text_parts(batch):
+                        ids = enc.encode([t or "" for t in texts], end_id)
                         count = np.fromiter(map(len, ids), np.int64, len(ids))
-                        documents.write_batch(pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(out.n_tokens + np.cumsum(count) - count), pa.array(count)], schema=index))
+                        documents.write_batch(pa.RecordBatch.from_arrays([rows.column(0), pa.array(out.n_tokens + np.cumsum(count) - count), pa.array(count)], schema=index))
                         for i in ids:
                             out.append(i)
-                        n_docs += b - a
+                        n_docs += len(texts)
             out.close()
         yield pa.RecordBatch.from_pydict({"part": [part], "tokens_file": [f"{folder}/{name}.tokens.arrow"], "docs_file": [f"{folder}/{name}.docs.arrow"], "n_docs": [n_docs], "n_tokens": [out.n_tokens], "n_sequences": [out.n_sequences]})
 
+    bounded_batches(spark)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     # the hash parts documents that share a doc_id
     keys = ["doc_id", F.xxhash64("text")]

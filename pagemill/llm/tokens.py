@@ -13,9 +13,13 @@ tests/llm compares it with plain encoding.
 
 from __future__ import annotations
 
+import os
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from .worker import keep
 
@@ -49,6 +53,7 @@ class Encoder:
     def __init__(self, path: str, max_units: int = MAX_UNITS):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; the library's threads would take others' and their memory
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.vocab = self.tokenizer.get_vocab_size()
@@ -165,13 +170,14 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def groups(texts: list[str], most: int = 4_000_000):
-    """(first, end) runs of texts of about ``most`` characters together, one text at least."""
-    first = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= most:
-            yield first, i + 1
-            first, size = i + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
+def text_parts(batch: pa.RecordBatch, column: int = 1, most: int = 2_000_000) -> Iterator[tuple[int, pa.RecordBatch, list[str | None]]]:
+    """(first row, rows, their texts): runs of a batch of about ``most`` bytes of text, one row at least, so that no whole batch is in Python."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < batch.num_rows:
+        before = int(ends[first - 1]) if first else 0
+        end = max(first + 1, int(np.searchsorted(ends, before + most, side="right")))
+        part = batch.slice(first, end - first)
+        yield first, part, part.column(column).to_pylist()
+        first = end
+    pa.default_memory_pool().release_unused()

@@ -41,9 +41,9 @@ SPEAKERS = {
     "assistant": ("assistant", "ai", "bot", "gpt", "model", "answer", "a", "agent", "chatbot"),
 }
 NAMED = {name: role for role, names in SPEAKERS.items() for name in names}
-#: At a turn's first line: its own marker, none, another role's.  Within a text: a line that begins a turn,
+#: At a turn's first line: its own marker, none, another role's; a marker is all but certain.  Within a text: a line that begins a turn,
 #: and a marker on a line that doesn't.
-OWN, BARE, OTHER = 0.97, 0.029, 0.001
+OWN, BARE, OTHER = 0.97, 0.02999, 0.00001
 BREAK, STRAY = 0.02, 0.002
 LONG = 200
 NONE, ODD = "none", "odd"
@@ -87,7 +87,8 @@ class Model:
             for state in (k, N + k):
                 self.step[state, N + k] = 0.0
         total = {a: sum(features.get((a, f), 0) for f in range(8)) for a in ROLES}
-        self.feature = np.array([[rate(features.get((a, f), 0), total[a], 8) for a in ROLES * 2] for f in range(8)])
+        # a tenth of each is uniform, so that no line's features outweigh a marker, however lopsided the counts
+        self.feature = np.log([[0.9 * math.exp(rate(features.get((a, f), 0), total[a], 8)) + 0.1 / 8 for a in ROLES * 2] for f in range(8)])
         self.begin, self.on = {}, {}
         for m in (NONE, ODD, *ROLES):
             self.begin[m] = np.array([math.log(BARE if m in (NONE, ODD) else OWN if m == r else OTHER / (N - 1)) for r in ROLES] + [-np.inf] * N)

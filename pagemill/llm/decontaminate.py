@@ -14,6 +14,11 @@ related windows agree at a step with probability ``agreement``.
 Items are taken in classes of like size, from ``low`` to ``2 * low - 1`` words.  A window walks over at most
 ``low / 2`` words.  Windows start at every word of an item as long as they stay in it, and at every
 ``low / 4``-th word of the documents, so each occurrence is met by several windows in each repeat.
+
+The walk alone loses occurrences, as edits in the first pairs of all windows that meet one hide it in every
+repeat.  So each item is also cut into pieces, one more than it may have edits: an occurrence has at least one
+piece without an edit, and wherever a piece's words stand in a text is a candidate.  Nothing is lost there.
+
 Candidates whose words can't reach the item's are dropped by counting; the rest are compared by Myers'
 bit-parallel edit distance in full.  Words of no item are one symbol: they match nothing either way.
 
@@ -47,6 +52,8 @@ TARGET_RECALL = 0.97
 ITEMS_A_BLOCK = 20_000
 #: Different raw words a worker remembers before it starts anew.
 MAX_WORDS = 500_000
+#: Candidates counted at a time.
+MAX_COUNTED = 1 << 16
 _OTHER = re.compile(r"[\W_]+")
 
 
@@ -119,6 +126,7 @@ class Index:
         pairs = [w[k] * self.n_symbols + w[k + 1] for w in self.words for k in range(len(w) - 1)]
         self.pairs = np.zeros(1 << 22, bool)
         self.pairs[self._slot(np.array(pairs, np.int64))] = True
+        self.pieces = self._pieces()
 
     @staticmethod
     def _slot(pair: np.ndarray) -> np.ndarray:
@@ -150,6 +158,26 @@ class Index:
         ends = np.cumsum(np.bincount(node))
         return steps.tolist(), bits, levels, item[order], shift[order], ends
 
+    def _pieces(self):
+        """Each item cut into one piece more than it may have edits, as a trie a length of piece."""
+        cut: dict[int, list[tuple[int, int]]] = {}
+        for k, (n, most) in enumerate(zip(self.size, self.most, strict=True)):
+            ends = [n * j // (most + 1) for j in range(most + 2)]
+            for a, b in zip(ends, ends[1:]):
+                if b > a:
+                    cut.setdefault(b - a, []).append((k, a))
+        tries = []
+        for length, members in sorted(cut.items()):
+            words = np.array([self.words[k][a : a + length] for k, a in members], np.int64)
+            item, shift = np.array(members, np.int64).T
+            node, levels = np.zeros(len(members), np.int64), []
+            for j in range(length):
+                codes, node = np.unique(node * self.n_symbols + words[:, j], return_inverse=True)
+                levels.append(codes)
+            order = np.argsort(node, kind="stable")
+            tries.append((levels, item[order], shift[order], np.cumsum(np.bincount(node))))
+        return tries
+
     def candidates(self, x: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Items and the places where they would start in the ``n`` symbols at the head of ``x``; what follows them is padding."""
         wide = x.astype(np.int64)
@@ -171,12 +199,30 @@ class Index:
                     node = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
                     alive = codes[node] == code
                     at, own, node = at[alive], own[alive], node[alive]
-                low = np.where(node > 0, ends[node - 1], 0)
-                many = ends[node] - low
-                place = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
-                found.append(np.stack([item[place], np.repeat(own, many) - shift[place]]))
-        both = np.unique(np.concatenate(found, axis=1), axis=1)
-        return self._possible(wide, n, both[0], both[1])
+                found.append(self._listed(own, node, item, shift, ends))
+        for levels, item, shift, ends in self.pieces:
+            own = np.flatnonzero(likely if len(levels) > 1 else x[:n])
+            node = np.zeros(len(own), np.int64)
+            for j, codes in enumerate(levels):
+                code = node * self.n_symbols + wide[own + j]
+                node = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+                alive = codes[node] == code
+                own, node = own[alive], node[alive]
+            found.append(self._listed(own, node, item, shift, ends))
+        item, start = np.concatenate(found, axis=1)
+        room, least = n + 2 * max(self.size), max(self.size)
+        item, start = np.divmod(np.unique(item * room + start + least), room)
+        start = start - least
+        parts = [self._possible(wide, n, item[k : k + MAX_COUNTED], start[k : k + MAX_COUNTED]) for k in range(0, len(item), MAX_COUNTED)]
+        return tuple(np.concatenate(p) for p in zip(*parts, strict=True)) if parts else (item, start)
+
+    @staticmethod
+    def _listed(own, node, item, shift, ends):
+        """The items at each place's node, and where they would start."""
+        low = np.where(node > 0, ends[node - 1], 0)
+        many = ends[node] - low
+        place = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+        return np.stack([item[place], np.repeat(own, many) - shift[place]])
 
     def _possible(self, x, n, item, start):
         """Those whose stretch holds enough of the item's words, counted without order."""
@@ -201,25 +247,33 @@ class Index:
             return []
         pad = max(self.size) + 1
         x = np.concatenate([*symbols, np.zeros(pad, np.int32)])
+        found = []
+        for doc, item, a, b in zip(*(c.tolist() for c in self._stretches(ends, *self.candidates(x, n))), strict=True):
+            distance, end = edits(self.places[item], self.size[item], x[a:b].tolist())
+            if distance <= self.most[item]:
+                found.append((doc, item, distance, max(0, a + end + 1 - self.size[item] - (int(ends[doc - 1]) if doc else 0))))
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        for item, start in zip(*(c.tolist() for c in self.candidates(x, n)), strict=True):
-            doc = int(np.searchsorted(ends, max(start, 0) + self.size[item] // 2, side="right"))
-            # the middle of the item lies in the text that holds it, but a text may end within the item's allowed edits
-            for d in {doc, int(np.searchsorted(ends, max(start, 0), side="right"))}:
-                if d >= len(texts):
-                    continue
-                low, high = int(ends[d]) - len(symbols[d]), int(ends[d])
-                most = self.most[item]
-                a, b = max(low, start - most), min(high, start + self.size[item] + 2 * most)
-                if b - a < self.size[item] - most:
-                    continue
-                distance, end = edits(self.places[item], self.size[item], x[a:b].tolist())
-                if distance <= most:
-                    value = (distance, max(0, a + end + 1 - self.size[item] - low))
-                    if value < best.get((d, item), (1 << 30, 0)):
-                        best[d, item] = value
+        for doc, item, distance, at in found:
+            best[doc, item] = min((distance, at), best.get((doc, item), (1 << 30, 0)))
         return [(d, item, at, distance) for (d, item), (distance, at) in sorted(best.items())]
 
+    def _stretches(self, ends, item, start):
+        """doc, item, and from where to where in the symbols: a text's overlapping candidates of an item are one stretch."""
+        size, most = np.array(self.size)[item], np.array(self.most)[item]
+        # the middle of the item lies in the text that holds it, but a text may end within the item's allowed edits
+        docs = np.stack([np.searchsorted(ends, np.maximum(start, 0) + half, side="right") for half in (size // 2, 0)])
+        doc, (item, start, size, most) = docs.ravel(), (np.tile(c, 2) for c in (item, start, size, most))
+        inside = doc < len(ends)
+        doc, item, start, size, most = (c[inside] for c in (doc, item, start, size, most))
+        a, b = np.maximum(np.concatenate([[0], ends])[doc], start - most), np.minimum(ends[doc], start + size + 2 * most)
+        order = np.lexsort((a, item, doc))
+        order = order[(b - a >= size - most)[order]]
+        doc, item, a, b = doc[order], item[order], a[order], b[order]
+        new = np.ones(len(doc), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (a[1:] > b[:-1])
+        last = np.append(new[1:], True)[: len(new)]
+        return doc[new], item[new], a[new], b[last]
+
 
 def _index(shared, *options) -> Index:
     """This worker's index of a block of items."""

@@ -127,3 +127,16 @@ def test_recall_and_precision_against_brute_force(spark):
     assert decontaminate.contamination(frame.limit(0), bench).count() == 0
     assert decontaminate.contamination(frame, bench.limit(0)).count() == 0
     assert decontaminate.clean(frame, bench.limit(0)).count() == len(docs)
+
+
+@pytest.mark.parametrize("n", [8, 15, 16, 17, 31, 32, 33, 64])
+def test_no_occurrence_within_the_rate_is_lost(n):
+    """Items with exactly as many edits as they may have, at every alignment; for short ones every choice of replaced words."""
+    draw, most = random.Random(n), math.floor(0.2 * n)
+    item = [f"i{k}" for k in range(n)]
+    index = decontaminate.Index([("it", " ".join(item))], decontaminate.RATE, decontaminate.MIN_WORDS, decontaminate.COORDINATES, decontaminate.repeats_for(decontaminate.TARGET_RECALL))
+    choices = list(itertools.combinations(range(n), most)) if n < 20 else [draw.sample(range(n), most) for _ in range(600)]
+    texts = [" ".join(["o"] * (k % n) + ["r" if at in places else w for at, w in enumerate(item)] + ["o"] * 3) for k, places in enumerate(choices)]
+    texts += [" ".join(["o"] * draw.randrange(n) + edited(item, most, draw, [*item, "r"])) for _ in range(300)]
+    assert {h[0] for h in index.hits(texts)} == set(range(len(texts)))
+    assert index.hits([" ".join(["o", *("r" if at % (n // (most + 1)) == 0 else w for at, w in enumerate(item))])]) == []

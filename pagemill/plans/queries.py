@@ -494,8 +494,10 @@ def visual_items(spark, sf_dir):
     return visuals.items(_placeholders(spark, sf_dir))
 
 
-def _rated(spark, sf_dir):
-    found = visuals.first_items(visuals.items(_placeholders(spark, sf_dir)), 3)
+def _rated(spark, sf_dir, limit=3):
+    found = visuals.items(_placeholders(spark, sf_dir))
+    if limit is not None:
+        found = visuals.first_items(found, limit)
     described = found.where("visual_id % 2 = 0").select("doc_id", "visual_id", F.concat(F.lit("seen "), "label").alias("description"))
     return visuals.statuses(found, A.assets(spark, sf_dir), 2000, described)
 
@@ -525,6 +527,23 @@ def filled_visuals(spark, sf_dir):
     return visuals.fill(_placeholders(spark, sf_dir), _rated(spark, sf_dir), 2000)
 
 
+# the two above show the first three visuals of a document, as their SQL says; these have all of them
+
+
+def _of_all(sql):
+    return sql.replace(" WHERE i.n <= 3)", ")")
+
+
+@query(_of_all(ORACLE["visual_statuses"]))
+def all_visual_statuses(spark, sf_dir):
+    return _rated(spark, sf_dir, None).select("doc_id", "visual_id", "asset", "asset_exists", F.col("asset_bytes").cast("long").alias("asset_bytes"), "status")
+
+
+@query(_of_all(FILLED_SQL))
+def all_filled_visuals(spark, sf_dir):
+    return visuals.fill(_placeholders(spark, sf_dir), _rated(spark, sf_dir, None), 2000)
+
+
 @query(f"WITH {A.LINES_SQL}, h AS (SELECT doc_id, pos AS off, pos // 4 + 1 AS page FROM lines WHERE pos % 4 = 1), o AS (SELECT doc_id, pos AS off FROM lines WHERE pos % 3 = 0) SELECT o.doc_id, o.off::INT AS off, h.page::INT AS page FROM o ASOF LEFT JOIN h ON o.doc_id = h.doc_id AND o.off >= h.off")
 def visual_page_asof(spark, sf_dir):
     rows = A.lines(spark, sf_dir).select("doc_id", F.col("pos").alias("off"))

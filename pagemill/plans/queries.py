@@ -226,6 +226,12 @@ def sha256_docs(spark, sf_dir):
     return audit.fingerprints(docs.select("doc_id", url.alias("url"), F.col("text").alias("content"))).select("doc_id", "bytes", "sha256", "url")
 
 
+# the URL above holds the first 60 characters, as its SQL says; this one has the whole text
+@query("SELECT doc_id, 'data:image/png;base64,' || to_base64(encode(text)) AS url FROM documents")
+def data_urls(spark, sf_dir):
+    return A.table(spark, sf_dir, "documents").select("doc_id", T.data_url(F.lit("x.png"), F.encode("text", "UTF-8")).alias("url"))
+
+
 # --- segments and blocks
 
 @query(

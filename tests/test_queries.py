@@ -1,5 +1,6 @@
 """Every registered query of the engine against its SQL, and the entry point."""
 
+import base64
 import datetime
 import math
 import os
@@ -51,3 +52,10 @@ def test_every_visual_is_rated_and_filled(spark):
     filled = {r.doc_id: r.content for r in found["all_filled_visuals"](spark, SF).collect()}
     assert any(n > 3 for _, n in told)
     assert sum(c.count("- Uncertainty: see description above.") for c in filled.values()) == len(told)
+
+
+def test_data_urls_hold_whole_texts(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
+    urls = {r.doc_id: r.url for r in queries.QUERIES["data_urls"](spark, SF).collect()}
+    assert max(map(len, texts.values())) > 60
+    assert {i: base64.b64decode(u.split(",", 1)[1]).decode() for i, u in urls.items()} == texts

@@ -10,12 +10,13 @@ equality is always decided by content:
 
 The winners then go back to the documents by digest.  That join carries no text, as stage 3 has shown
 for every digest whether it stands for one text.  Where one stands for more (never seen with SHA-256,
-easily made with a weaker ``digest``), the whole text joins as well.
+easily made with a weaker ``digest``), the whole text joins as well.  Digests of more than one row in
+``HOT`` (there can't be more than ``HOT`` of those) are salted in that join, too.
 
-Defined results: a null text counts as empty; empty texts form one group; a null doc_id ranks last and
-may only represent a group of null doc_ids; rows that repeat both doc_id and text are members each
-(``group_size`` counts them) and share ``kept``; an empty table gives an empty result; other input
-columns are ignored, whatever their names.
+Defined results: a null text counts as empty; empty texts form one group; doc_ids are any long, negative
+ones included; a null doc_id ranks after all others and may only represent a group of null doc_ids; rows
+that repeat both doc_id and text are members each (``group_size`` counts them) and share ``kept``; an empty
+table gives an empty result; other input columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,7 +31,11 @@ from .common import materialize
 #: [\x20\x09-\x0D]
 WHITE = " \t\n\x0b\x0c\r"
 SALTS = 64
+#: A digest is hot if it has more than one row in so many.
+HOT = 1000
 _LAST_ID = (1 << 63) - 1
+#: One more than the largest part of a rank that stands for a doc_id.
+_UNIT = 1 << 65
 
 
 def normalised(text: Column) -> Column:
@@ -41,11 +46,20 @@ def sha256(text: Column) -> Column:
     return F.unhex(F.sha2(F.encode(text, "UTF-8"), 256))
 
 
+def _whole(n: int) -> Column:
+    return F.lit(str(n)).cast("decimal(38,0)")
+
+
 def _rank(text: Column, doc_id: Column) -> Column:
-    """One number that orders by most code points, then by smallest doc_id: fixed width, so hash aggregation holds it."""
+    """One number that orders by most code points, then by smallest doc_id, null last: fixed width, so hash aggregation holds it."""
     length = F.length(F.coalesce(text, F.lit(""))).cast("decimal(38,0)")
-    back = (F.lit(_LAST_ID) - F.coalesce(doc_id.cast("long"), F.lit(_LAST_ID))).cast("decimal(20,0)")
-    return (length * F.lit(str(1 << 64)).cast("decimal(20,0)") + back).cast("decimal(38,0)")
+    back = F.coalesce(_whole(_LAST_ID + 1) - doc_id.cast("long").cast("decimal(38,0)"), _whole(0))
+    return (length * _whole(_UNIT) + back).cast("decimal(38,0)")
+
+
+def _ranked_id(rank: Column) -> Column:
+    back = rank % _whole(_UNIT)
+    return F.when(back > 0, _whole(_LAST_ID + 1) - back).cast("long")
 
 
 def classes(
@@ -62,11 +76,9 @@ def classes(
     salted = rows.groupBy("digest", "salt", "content").agg(F.max("rank").alias("rank"), F.count(F.lit(1)).alias("n"))
     # by digest alone, so that the texts of one digest are counted where they are combined
     whole = salted.repartition("digest").groupBy("digest", "content").agg(F.max("rank").alias("rank"), F.sum("n").alias("group_size"))
-    unit = F.lit(str(1 << 64)).cast("decimal(20,0)")
-    keep = (F.lit(_LAST_ID).cast("decimal(20,0)") - (F.col("rank") % unit).cast("decimal(20,0)")).cast("long")
-    length = F.floor(F.col("rank") / unit).cast("long")
+    keep, length = _ranked_id(F.col("rank")), F.floor(F.col("rank") / _whole(_UNIT)).cast("long")
     n_contents = F.count(F.lit(1)).over(Window.partitionBy("digest"))
-    return whole.select("digest", "content", F.when(keep != _LAST_ID, keep).alias("keep_id"), length.alias("keep_chars"), "group_size", n_contents.alias("n_contents")).select(
+    return whole.select("digest", "content", keep.alias("keep_id"), length.alias("keep_chars"), "group_size", n_contents.alias("n_contents")).select(
         "digest", F.when(F.col("n_contents") > 1, F.col("content")).alias("content"), "keep_id", "keep_chars", "group_size", "n_contents"
     )
 
@@ -84,12 +96,23 @@ def exact_dedup(
     clash = found.where("n_contents > 1").select("digest", "content", "keep_id", "group_size")
     content = normalised(F.col(f"`{text_col}`"))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), digest(content).alias("digest"), F.sha2(F.encode(content, "UTF-8"), 256).alias("text_sha256"), content.alias("content"))
-    out = rows.drop("content").join(by_digest, "digest")
+    out = _by_digest(rows.drop("content"), by_digest, salts)
     if not clash.isEmpty():
         out = out.unionByName(rows.join(clash, ["digest", "content"]).drop("content"))
     return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
+def _by_digest(rows: DataFrame, found: DataFrame, salts: int) -> DataFrame:
+    """Rows with the class of their digest; hot classes are repeated for each salt, so that their rows spread over as many tasks."""
+    total = found.agg(F.sum("group_size")).first()[0] or 0
+    hot = found.where(F.col("group_size") * HOT > total).select(F.col("digest").alias("hot"))
+    # HOT digests at most
+    marked = rows.join(F.broadcast(hot), rows["digest"] == hot["hot"], "left")
+    marked = marked.withColumn("salt", F.when(F.col("hot").isNotNull(), F.pmod(F.xxhash64("doc_id", F.spark_partition_id()), F.lit(salts))).otherwise(F.lit(0)).cast("int")).drop("hot")
+    each = F.when(F.col("group_size") * HOT > total, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    return marked.join(found.withColumn("salt", F.explode(each)), ["digest", "salt"]).drop("salt")
+
+
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
     """The documents that stay, with their own columns.
 
@@ -97,13 +120,16 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     found = materialize(classes(docs, id_col, text_col, salts), "exact-classes")
     clash = found.where("n_contents > 1").select("digest", "content")
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")  # so that no column's name can clash
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    keys = ["__digest", "__doc_id", "__chars"]
-    work = docs.withColumns({"__digest": sha256(normalised(text)), "__doc_id": F.col(f"`{id_col}`").cast("long"), "__chars": F.length(text).cast("long")})
-    stay = found.select(F.col("digest").alias("k_digest"), F.col("keep_id").alias("k_doc_id"), F.col("keep_chars").alias("k_chars"), F.col("content").alias("k_content"))
-    same = work["__digest"].eqNullSafe(stay["k_digest"]) & work["__doc_id"].eqNullSafe(stay["k_doc_id"]) & (work["__chars"] == stay["k_chars"])
-    if not clash.isEmpty():
-        keys.append("__content")
-        work = work.withColumn("__content", normalised(text))
-        same &= stay["k_content"].isNull() | (work["__content"] == stay["k_content"])
-    return work.join(stay, same, "left_semi").dropDuplicates(keys).select(*[F.col(f"`{c}`") for c in docs.columns])
+    work = docs.select(own, sha256(normalised(text)).alias("digest"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.length(text).cast("long").alias("chars"), normalised(text).alias("content"))
+    keys = ["digest", "doc_id", "chars"]
+    stay = found.select(*[F.col(c).alias(f"k_{c}") for c in ("digest", "content", "keep_id", "keep_chars")])
+    same = work["digest"].eqNullSafe(stay["k_digest"]) & work["doc_id"].eqNullSafe(stay["k_keep_id"]) & (work["chars"] == stay["k_keep_chars"])
+    if clash.isEmpty():
+        work = work.drop("content")
+    else:
+        keys.append("content")
+        same &= stay["k_content"].isNull() | (work["content"] == stay["k_content"])
+    kept = work.join(stay, same, "left_semi").dropDuplicates(keys)
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

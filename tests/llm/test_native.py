@@ -20,7 +20,7 @@ def expected_dedup(pairs):
     out = []
     for i, t in pairs:
         members = groups[norm(t)]
-        best = max(members, key=lambda m: (len(m[1]), -(m[0] if m[0] is not None else 1 << 63)))[0]
+        best = max(members, key=lambda m: (len(m[1]), -(m[0] if m[0] is not None else 1 << 64)))[0]
         out.append((i, best, len(members), i == best, hashlib.sha256(norm(t).encode()).hexdigest()))
     return Counter(out)
 
@@ -29,13 +29,28 @@ def test_exact_dedup_matches_plain_python(docs_of):
     assert Counter(map(tuple, exact_dedup.exact_dedup(docs_of(PAIRS)).collect())) == expected_dedup(PAIRS)
 
 
+def test_exact_dedup_of_negative_and_extreme_ids(docs_of):
+    low, high = -(1 << 63), (1 << 63) - 1
+    pairs = [(-5, "x"), (3, "x"), (high, "y"), (None, "y"), (low, "z"), (low, "z "), (0, "z"), (None, "w"), (None, "w"), (high, "v"), (-1, " v")]
+    assert Counter(map(tuple, exact_dedup.exact_dedup(docs_of(pairs)).collect())) == expected_dedup(pairs)
+    kept = exact_dedup.drop_duplicates(docs_of(pairs)).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter([(-5, "x"), (high, "y"), (low, "z "), (None, "w"), (-1, " v")])
+
+
+def test_exact_dedup_of_a_hot_group_and_many_ids(docs_of, monkeypatch):
+    pairs = [(k - 500 if k % 7 else None, "the same" if k % 3 == 0 else f"text {k // 2}") for k in range(3000)]
+    monkeypatch.setattr(exact_dedup, "HOT", 10)
+    rows = exact_dedup.exact_dedup(docs_of(pairs)).collect()
+    assert Counter(map(tuple, rows)) == expected_dedup(pairs)
+
+
 def test_exact_dedup_compares_content_when_digests_clash(docs_of):
     weak = lambda c: F.pmod(F.crc32(F.encode(c, "UTF-8")), F.lit(2))
     assert Counter(map(tuple, exact_dedup.exact_dedup(docs_of(PAIRS), digest=weak, salts=2).collect())) == expected_dedup(PAIRS)
 
 
 def test_drop_duplicates_keeps_one_row_a_text(docs_of):
-    docs = docs_of(PAIRS)
+    docs = docs_of(PAIRS, "doc_id long, text string, digest string, content int, row int, __digest string, __doc_id int, chars string, k_digest int, `a.b` string")
     kept = exact_dedup.drop_duplicates(docs)
     assert kept.columns == docs.columns
     assert sorted((r.doc_id or 0, len(r.text or "")) for r in kept.collect()) == [(0, 5), (3, 4), (6, 4), (7, 3), (10, 200_001)]

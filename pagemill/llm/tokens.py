@@ -8,11 +8,13 @@ at most one space before it, and runs of white space) and never merges across th
 
 and the ids of the cuts put together are those of the whole text.  ``Encoder`` cuts there and has the library
 encode each different unit once; text that repeats words, as prose does, then costs a look-up a word.
-tests/llm compares it with plain encoding.
+Strings of special tokens part a text first, as they do in the library; they get the library's ids.
+A tokenizer with another pre-tokenizer or a normaliser gets whole texts.  tests/llm compares with plain encoding.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -55,10 +57,17 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; the library's threads would take others' and their memory
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.vocab = self.tokenizer.get_vocab_size()
         self.max_units = max_units
-        (self.feed,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        made = json.loads(self.tokenizer.to_str())
+        pre = made.get("pre_tokenizer") or {}
+        feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        # what the cuts hold for
+        plain = not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in made["added_tokens"])
+        self.cuts = plain and not made.get("normalizer") and pre.get("type") == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"] and len(feed) == 1
+        self.feed = feed[0] if feed else None
+        self.special = {t["content"]: t["id"] for t in made["added_tokens"]}
+        self.parts = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self._reset()
 
     def _reset(self) -> None:
@@ -137,8 +146,30 @@ class Encoder:
         self.count = np.concatenate([self.count, count])
         self.used = np.concatenate([self.used, np.zeros(len(count), np.int64)])
 
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of texts that the cuts don't hold for."""
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, np.uint32) for e in found]
+
+    def _specials(self, text: str) -> list[np.ndarray]:
+        """The ids of a text's parts, with those of special strings between them."""
+        found = self.parts.findall(text)
+        ids = self.encode(self.parts.split(text))
+        out = [ids[0]]
+        for special, rest in zip(found, ids[1:], strict=True):
+            out += [np.array([self.special[special]], np.uint32), rest]
+        return out
+
     def encode(self, texts: list[str], end_id: int | None = None) -> list[np.ndarray]:
         """The ids of each text as uint32, with ``end_id`` after them if given."""
+        end = [np.array([end_id], np.uint32)] if end_id is not None else []
+        if not self.cuts:
+            return [np.concatenate([ids, *end]) for ids in self._whole(texts)]
+        odd = {k: np.concatenate([*self._specials(t), *end]) for k, t in enumerate(texts) if self.parts and self.parts.search(t)}
+        rest = iter(self._plain([t for k, t in enumerate(texts) if k not in odd], end_id))
+        return [odd[k] if k in odd else next(rest) for k in range(len(texts))]
+
+    def _plain(self, texts: list[str], end_id: int | None) -> list[np.ndarray]:
         if len(self.count) > self.max_units:
             self._forget()
         numbers = [self._numbers(t) for t in texts]

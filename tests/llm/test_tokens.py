@@ -7,15 +7,17 @@ from collections import Counter, defaultdict
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from pagemill.llm import packing, token_files, tokens
 
 PATH = tokens.default_path()
 ENCODER = tokens.Encoder(PATH, max_units=50)
+LIBRARY = Tokenizer.from_file(PATH)  # as the library has it, no setting changed
 
 
 def plain_ids(text):
-    return ENCODER.tokenizer.encode(text or "", add_special_tokens=False).ids
+    return LIBRARY.encode(text or "", add_special_tokens=False).ids
 
 
 @settings(max_examples=400, deadline=None)
@@ -24,6 +26,21 @@ def test_units_give_the_ids_of_whole_texts(text):
     assert ENCODER.encode([text])[0].tolist() == plain_ids(text)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", " ", "  ", "\n", "a", "end", ".", "'s", "é", "<|"]), max_size=12).map("".join))
+def test_special_strings_get_the_ids_of_the_library(text):
+    assert [i.tolist() for i in ENCODER.encode(["before", text, "after"], 5)] == [[*plain_ids(t), 5] for t in ("before", text, "after")]
+
+
+def test_another_tokenizer_gets_whole_texts():
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own, library = tokens.Encoder(path), Tokenizer.from_file(path)
+    texts = ["", "Hello,  World\nagain<|endoftext|> 3.14", "x" * 200]
+    assert not own.cuts and [i.tolist() for i in own.encode(texts, 3)] == [[*library.encode(t, add_special_tokens=False).ids, 3] for t in texts]
+
+
 def test_units_on_prose():
     draw = random.Random(3)
     words = ["the", "don't", "we'll", "naïve", "<|endoftext|>", "3.14", "x" * 300, "中文", "​", "á", "--", "﻿"]
@@ -31,7 +48,7 @@ def test_units_on_prose():
     assert [i.tolist() for i in ENCODER.encode(texts, 7)] == [[*plain_ids(t), 7] for t in texts]
 
 
-PAIRS = [(i, f"word{i} and more " * (i % 50)) for i in range(300)] + [(5, "again"), (5, "again"), (None, "no id"), (301, None), (302, ""), (303, "long words " * 30_000)]
+PAIRS = [(i, f"word{i} and more " * (i % 50)) for i in range(300)] + [(5, "again"), (5, "again"), (None, "no id"), (301, None), (302, ""), (303, "long words " * 30_000), (304, "one<|endoftext|>two <|endoftext|>")]
 
 
 def test_pieces_cover_every_id_once(docs_of):

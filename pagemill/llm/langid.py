@@ -5,15 +5,23 @@ sum over all its segmentations into pieces, by the forward algorithm; pieces don
 text's likelihood is the product over its words and a word seen before costs a look-up.
 
 Learning: expectation-maximisation over the words of a sample of labelled texts, at most ``sample_texts``
-a language, drawn by a hash of the id over all labelled rows.  The words of the sample are counted on the
-executors; each language is fitted in a task of its own.  What is kept a language is one number a piece.
+different texts a language, those of the least hash over all labelled rows.  Ids play no part in the draw, and
+a text that is repeated counts once, however often.  The words of the sample are counted on the executors;
+each language is fitted in a task of its own.  What is kept a language is one number a piece.
 
 Scoring reads whole texts.  The score is the posterior of the best language after the log-likelihoods are
 divided by the square root of the number of words, which keeps long texts from all scoring 1.
 
+As a pipeline stage (``keep_identified``) the predicted language becomes the document's ``lang``; documents
+without a language go, and so do those of a language that isn't asked for.
+
+Pieces are those of up to ``MAX_PIECE`` characters (of the default vocabulary that is every one but runs of
+marks or blanks; longer ones can be had by raising it); words of over ``LONG`` characters aren't learned from.
+
 Defined results: null texts and texts without a letter are ``und`` with score 0; with no labelled row at all
-every text is; ties go to the first language by name; null ids and repeated rows get their rows; an empty
-table gives an empty result; other columns are ignored.
+every text is, and the stage then keeps every document as it came, as nothing can be told apart; ties go to
+the first language by name; null ids and repeated rows get their rows; an empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,7 +29,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -235,20 +243,19 @@ def predictions(scorer: Scorer | None, names: list[str], texts: list[str | None]
     return best, score
 
 
-def sample(docs: DataFrame, learn: Column, most: int, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """lang and text of at most ``most`` rows a language, those of the least hash of the id."""
-    order = F.xxhash64(F.col(f"`{id_col}`").cast("string"))
-    labelled = docs.where(learn & F.col(f"`{lang_col}`").isNotNull() & F.col(f"`{text_col}`").isNotNull())
-    ids = labelled.select(F.col(f"`{lang_col}`").alias("lang"), order.alias("o"))
-    # a share of the hashes that holds the sample and somewhat more, so that few texts are moved
-    counts = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    bound = counts.select("lang", F.least(F.lit(1.0), F.lit(1.5 * most + 100) / F.col("n")).alias("share"))
-    rows = labelled.select(F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"), order.alias("o"))
-    near = rows.join(F.broadcast(bound), "lang").where(F.col("o") <= -(2.0**63) + F.col("share") * 2.0**64)
-    return near.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("o"))).where(F.col("r") <= most).select("lang", "text")
+def sample(docs: DataFrame, learn: Column, most: int, text_col: str, lang_col: str) -> DataFrame:
+    """lang and text of at most ``most`` different texts a language, those of the least hash; ties go by the text."""
+    lang, text = F.col(f"`{lang_col}`").cast("string"), F.col(f"`{text_col}`").cast("string")
+    labelled = docs.where(learn).select(lang.alias("lang"), text.alias("text"), F.xxhash64(text).alias("o")).where("lang IS NOT NULL AND text IS NOT NULL")
+    # a share of the hashes that holds twice as many different texts as asked for, so that few are moved and none is lost
+    counts = labelled.groupBy("lang").agg(F.approx_count_distinct("o").alias("n"))
+    bound = counts.select(F.col("lang").alias("b_lang"), F.least(F.lit(1.0), F.lit(2.0 * most + 100) / F.col("n")).alias("share"))
+    # one row a language
+    near = labelled.join(F.broadcast(bound), F.col("lang") == F.col("b_lang")).where(F.col("o") <= -(2.0**63) + F.col("share") * 2.0**64)
+    return near.select("lang", "o", "text").distinct().withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("o", "text"))).where(F.col("r") <= most).select("lang", "text")
 
 
-def train(docs: DataFrame, learn: Column, id_col: str, text_col: str, lang_col: str, vocabulary: str, most: int, rounds: int) -> dict[str, list[float]]:
+def train(docs: DataFrame, learn: Column, text_col: str, lang_col: str, vocabulary: str, most: int, rounds: int) -> dict[str, list[float]]:
     """Language -> piece probabilities."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,7 +273,7 @@ def train(docs: DataFrame, learn: Column, id_col: str, text_col: str, lang_col:
         prob = fit(dict(zip(frame["word"], frame["n"], strict=True)), pieces(vocabulary), rounds)
         return pd.DataFrame({"lang": [key[0]], "prob": [prob]})
 
-    words = sample(docs, learn, most, id_col, text_col, lang_col).mapInArrow(count, "lang string, word string, n long")
+    words = sample(docs, learn, most, text_col, lang_col).mapInArrow(count, "lang string, word string, n long")
     words = words.groupBy("lang", "word").agg(F.sum("n").alias("n"))
     fitted = words.groupBy("lang").applyInPandas(fit_one, "lang string, prob array<double>")
     # one row a language, one number a piece
@@ -281,7 +288,7 @@ def held_out(id_col: str = "doc_id") -> Column:
 def _model(docs, id_col, text_col, lang_col, vocabulary, sample_texts, rounds):
     bounded_batches(docs.sparkSession)
     vocabulary = vocabulary or default_vocabulary()
-    model = train(docs, ~held_out(id_col), id_col, text_col, lang_col, vocabulary, sample_texts, rounds)
+    model = train(docs, ~held_out(id_col), text_col, lang_col, vocabulary, sample_texts, rounds)
     names = sorted(model)
     return names, docs.sparkSession.sparkContext.broadcast(np.array([model[n] for n in names])) if names else None, vocabulary
 
@@ -312,6 +319,7 @@ def language_id(
 
 def keep_identified(
     docs: DataFrame,
+    languages: Collection[str] | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
@@ -319,16 +327,24 @@ def keep_identified(
     sample_texts: int = SAMPLE_TEXTS,
     rounds: int = ROUNDS,
 ) -> DataFrame:
-    """The documents that have a language, as they came: those predicted ``und`` go.  Nothing is shuffled."""
+    """The documents predicted to be in one of ``languages`` (None: in any), their ``lang`` the predicted one.
+
+    Documents that are ``und`` go.  Without a labelled row nothing can be told, and all documents stay as they came.
+    Nothing is shuffled.
+    """
     names, shared, vocabulary = _model(docs, id_col, text_col, lang_col, vocabulary, sample_texts, rounds)
-    at = docs.columns.index(text_col)
+    if shared is None:
+        return docs
+    at, lang_at = docs.columns.index(text_col), docs.columns.index(lang_col)
+    wanted = set(names) if languages is None else set(languages)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(shared, vocabulary) if shared else None
+        scorer = _scorer(shared, vocabulary)
         for batch in batches:
             for _, part, texts in text_parts(batch, at):
                 best, _ = predictions(scorer, names, texts)
-                yield part.filter(pa.array([b != "und" for b in best], pa.bool_()))
+                told = part.set_column(lang_at, part.schema.field(lang_at), pa.array(best, part.schema.field(lang_at).type))
+                yield told.filter(pa.array([b in wanted for b in best], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
 

@@ -3,11 +3,13 @@
 import itertools
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pagemill.llm import decontaminate, langid
 
@@ -57,10 +59,63 @@ def test_held_out_accuracy_and_defined_results(spark):
     assert by_id[10**9 + 4].lang_pred == "en" and by_id[10**9 + 5].lang_pred in set(truth.values())
     assert all(0 <= r.score <= 1 for r in rows) and by_id[None].lang_pred in set(truth.values())
     kept = langid.keep_identified(both)
-    assert kept.columns == both.columns and kept.count() == 1003
+    assert kept.columns == both.columns and Counter((r.doc_id, r.lang) for r in kept.collect()) == Counter((r.doc_id, r.lang_pred) for r in rows if r.lang_pred != "und")
+    some = langid.keep_identified(both, languages=["de", "fr"])
+    assert Counter((r.doc_id, r.lang) for r in some.collect()) == Counter((r.doc_id, r.lang_pred) for r in rows if r.lang_pred in ("de", "fr"))
     relabelled = both.withColumn("lang", both["lang"].substr(1, 0))
     assert langid.language_id(relabelled.where("lang IS NULL")).select("lang_pred").distinct().collect() == [("und",)]
+    kept = langid.keep_identified(relabelled.where("lang IS NULL"))
+    assert sorted(map(str, kept.collect())) == sorted(map(str, relabelled.where("lang IS NULL").collect()))  # no model, so nothing goes
     assert langid.language_id(both.limit(0)).count() == 0
+    assert langid.keep_identified(both.limit(0)).count() == 0
+
+
+LANGUAGES = {"aa": "kato muro pelin", "bb": "zibe wox fyq", "cc": "ütsch ßahn öl"}
+
+
+@pytest.mark.parametrize("ids", ["null", "one", "negative"])
+def test_the_ids_do_not_decide_what_is_learned(spark, ids):
+    """20,000 rows whose ids are null, all the same, or negative, most of them one and the same row of one language."""
+    draw = random.Random(5)
+    rows = [(k, " ".join(draw.choices(words.split(), k=9)), lang) for lang, words in LANGUAGES.items() for k in range(2000)]
+    rows += [(k, "kato kato", "aa") for k in range(14_000)]
+    name = {"null": lambda k: None, "one": lambda k: 0, "negative": lambda k: -k}[ids]
+    docs = spark.createDataFrame([(name(k), t, lang) for k, t, lang in rows], "doc_id long, text string, lang string").repartition(5)
+    found = langid.language_id(docs, sample_texts=100).groupBy("lang_pred").count().collect()
+    assert {r.lang_pred: r["count"] for r in found} == {"aa": 16_000, "bb": 2000, "cc": 2000}
+    drawn = [sorted(map(tuple, langid.sample(docs.repartition(n), F.lit(True), 100, "text", "lang").collect())) for n in (1, 7)]
+    assert drawn[0] == drawn[1] and Counter(lang for lang, _ in drawn[0]) == {"aa": 100, "bb": 100, "cc": 100}
+
+
+def plain_prediction(text, names, vocabulary, prob):
+    """The query's answer for one text, by plain sums over pieces, one language and word at a time."""
+    if not re.search(r"[^\W\d_]", text or ""):
+        return "und", 0.0
+    number, words, total = {p: k for k, p in enumerate(vocabulary)}, text.lower().split(), []
+    for own in prob:
+        logs = 0.0
+        for word in words:
+            marked = "▁" + word.strip(langid.MARKS)
+            ahead = [1.0]
+            for end in range(1, len(marked) + 1):
+                ahead.append(sum(ahead[a] * own[number[marked[a:end]] if marked[a:end] in number else -1] for a in range(end) if marked[a:end] in number or end - a == 1))
+            logs += math.log(ahead[-1]) if len(marked) > 1 else 0.0
+        total.append(logs)
+    odds = [math.exp((t - max(total)) / math.sqrt(len(words))) for t in total]
+    return names[total.index(max(total))], max(odds) / sum(odds)
+
+
+def test_the_query_predicts_what_plain_sums_predict(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = {r.doc_id: r for r in langid.language_id(docs).collect()}
+    vocabulary = langid.default_vocabulary()
+    model = langid.train(docs, ~langid.held_out(), "text", "lang", vocabulary, langid.SAMPLE_TEXTS, langid.ROUNDS)
+    names, pieces = sorted(model), langid.pieces(vocabulary)
+    short = [r for r in docs.collect() if len(r.text or "") < 2500]
+    assert len(short) > 100
+    for r in short:
+        lang, score = plain_prediction(r.text, names, pieces, [model[n] for n in names])
+        assert rows[r.doc_id].lang_pred == lang and rows[r.doc_id].score == pytest.approx(score, rel=1e-6)
 
 
 def distance(pattern, text):

@@ -26,7 +26,7 @@ def _star(pairs: DataFrame, small: bool) -> DataFrame:
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """node and the least node of its component, for each node of an edge (columns a, b; a <> b)."""
-    pairs = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
+    pairs = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), name)
     while True:
         # pairs run from the larger node to the smaller; both stars keep them so
         pairs = materialize(_star(_star(pairs, small=False), small=True).distinct(), name)

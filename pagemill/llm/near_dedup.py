@@ -13,13 +13,14 @@
 3. Links: a list of n classes needs no n * n / 2 pairs, as only components are asked for.  First each
    class is paired with the least of its list.  What is linked there needs no more pairs; *all* other pairs
    of one list are then compared, whatever their number: those of short lists as candidate rows, those of
-   long ones within the join, which gives out links only.  So the result is that of all pairs.  Each link is
-   confirmed on the full shingle sets.
-4. Components: large and small stars over the links.
+   long ones within the join, which gives out links only.  A long list is dealt in blocks of ``BLOCK`` classes,
+   and each pair of blocks is a join key of its own, so the work of one list spreads over as many tasks as it
+   has pairs of blocks.  So the result is that of all pairs.  Each link is confirmed on the full shingle sets.
+4. Components: large and small stars over the links and over the classes that share a doc_id.
 
 Defined results: null and empty texts have ``n_shingles`` 0 and stand alone; a row without doc_id stands
-alone and is kept; rows that share a doc_id are one node; an empty table gives an empty result; other
-columns are ignored.
+alone and is kept; rows that share a doc_id are one node, so all their texts' classes are in one component;
+an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,6 +43,8 @@ from .worker import drop
 COORDINATES = 32
 #: Postings of a list up to which candidate pairs are written out.
 LONG_LIST = 32
+#: Classes of a long list that one side of a join key holds.
+BLOCK = 512
 
 
 def least_matches(similarity: float, coordinates: int) -> int:
@@ -147,13 +150,22 @@ def near_duplicates(
     posted = signed.join(classes.withColumnRenamed("digest", "c_digest"), (F.col("digest") == F.col("c_digest")) & (F.col("doc_id") == F.col("rep")))
     prefix = prefix_postings(posted.select("rep", "n_shingles", "keys"), matches)
     text = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    labels = link_components(prefix, _Links(text, width, percent, matches))
+    labels = link_components(prefix, _Links(text, width, percent, matches), shared_ids(signed, classes))
     by_digest = classes.join(labels, classes["rep"] == labels["node"], "left").select(F.col("digest").alias("c_digest"), F.coalesce("component", "rep").alias("class_component"))
     out = signed.drop("keys").join(by_digest, signed["digest"] == by_digest["c_digest"], "left")
     component = F.coalesce("class_component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
+def shared_ids(signed: DataFrame, classes: DataFrame) -> DataFrame:
+    """Edges (a, b) between the classes of each doc_id that has several."""
+    own = signed.where("digest is not null").select("doc_id", "digest")
+    several = own.groupBy("doc_id").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low <> high").select("doc_id")
+    reps = own.join(several, "doc_id", "left_semi").distinct().join(classes, "digest").select("doc_id", "rep")
+    least = reps.groupBy("doc_id").agg(F.min("rep").alias("a"))
+    return materialize(reps.join(least, "doc_id").where("a <> rep").select("a", F.col("rep").alias("b")).distinct(), "near-shared")
+
+
 def prefix_postings(reps: DataFrame, matches: int) -> DataFrame:
     """key, rep, n_shingles, keys, prefix: each class under its prefix of the keys that other classes hold too."""
     every = reps.select("rep", F.explode("keys").alias("key"))
@@ -165,8 +177,8 @@ def prefix_postings(reps: DataFrame, matches: int) -> DataFrame:
     return materialize(listed.select(F.explode("prefix").alias("key"), "rep", "n_shingles", "keys", "prefix"), "near-postings")
 
 
-def link_components(prefix: DataFrame, links: _Links) -> DataFrame:
-    """node and component of the classes that are linked."""
+def link_components(prefix: DataFrame, links: _Links, given: DataFrame) -> DataFrame:
+    """node and component of the classes that are linked; ``given``: edges that hold anyway."""
     start = prefix.withColumn("label", F.col("rep"))
     led = materialize(links.confirmed(with_leader(start, links)), "near-led")
     # a class and the least class that it is linked with are in one component, and so are those with one such class
@@ -174,7 +186,7 @@ def link_components(prefix: DataFrame, links: _Links) -> DataFrame:
     now = labelled(prefix, labels)
     mixed = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     unresolved = materialize(now.join(mixed.select("key"), "key", "left_semi"), "near-unresolved")
-    return components(led.unionByName(across(unresolved, links)), "near-components")
+    return components(led.unionByName(given).unionByName(across(unresolved, links)), "near-components")
 
 
 def labelled(prefix: DataFrame, labels: DataFrame) -> DataFrame:
@@ -202,22 +214,32 @@ def across(posts: DataFrame, links: _Links) -> DataFrame:
     """
     # how often each component stands in a list
     tops = posts.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.sum("n").alias("size"), F.max(F.struct("n", "label")).alias("top"))
-    named = posts.join(tops.select("key", "size", F.col("top.label").alias("top")), "key")
+    tops = materialize(tops.select("key", "size", F.col("top.n").alias("alike"), F.col("top.label").alias("top")), "near-tops")
     same = (F.col("key") == F.col("b_key")) & (F.col("label") != F.col("b_label"))
     pair = [F.least("rep", "b_rep").alias("a"), F.greatest("rep", "b_rep").alias("b")]
-    short = named.where(F.col("size") <= LONG_LIST)
+    short = posts.join(tops.where(F.col("size") <= LONG_LIST), "key")
     found = links.confirmed(short.join(second(short.where("label <> top")), same & links.likely()).select(*pair).distinct())
-    long = named.where(F.col("size") > LONG_LIST)
+    long = materialize(posts.join(tops.where(F.col("size") > LONG_LIST), "key"), "near-long")
     if long.isEmpty():
         return found
     sets = links.sets(long.select(F.col("rep").alias("doc_id")).distinct())
     full = long.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
-    told = full.join(second(full.where("label <> top"), "held"), same & links.likely() & links.enough(F.col("held"), F.col("b_held")))
+    # each side's classes are dealt over its blocks and stand in the block pairs with all of the other's
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    dealt = lambda n: F.pmod(F.xxhash64("rep"), blocks(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
+    outside = F.col("size") - F.col("alike")
+    one = full.withColumn("i", dealt(F.col("size"))).withColumn("j", every(outside))
+    two = full.where("label <> top").withColumn("j", dealt(outside)).withColumn("i", every(F.col("size")))
+    block = (F.col("i") == F.col("b_i")) & (F.col("j") == F.col("b_j"))
+    told = one.join(second(two, "held", "i", "j"), block & same & links.likely() & links.enough(F.col("held"), F.col("b_held")))
     return found.unionByName(told.select(*pair)).distinct()
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, coordinates: int = COORDINATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents whose doc_id is the least of its component, and those without doc_id, as they came."""
     found = near_duplicates(docs, width, percent, coordinates, id_col, text_col)
-    gone = found.where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(f"`{id_col}`").cast("long") == F.col("__gone"), "left_anti")
+    gone = found.where("not kept").select("doc_id").distinct()
+    # the row is one column meanwhile, so that no name can clash
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").cast("long").alias("doc_id"))
+    return rows.join(gone, "doc_id", "left_anti").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -82,6 +82,34 @@ def test_a_large_group_makes_few_candidates(docs_of, monkeypatch):
     assert sum(tried) < 12 * len(pairs)
 
 
+def test_rows_that_share_an_id_are_one_node(docs_of):
+    """Classes, chains of them and near copies that meet in one doc_id only."""
+    text = {x: " ".join(f"{x}{k}" for k in range(60)) for x in "ABCD"}
+    near = text["D"].replace("D7 ", "other ")
+    pairs = [(3, text["A"]), (5, text["A"]), (5, text["B"]), (9, text["B"]), (9, text["C"]), (2, text["C"]), (20, near), (21, text["D"]), (21, "apart it is"), (30, "apart it is"), (31, None), (31, "")]
+    rows = near_dedup.near_duplicates(docs_of(pairs), width=3, percent=85).collect()
+    assert Counter(map(tuple, rows)) == all_pairs(pairs, 3, 85)
+    assert {r.component_id for r in rows if r.doc_id in (2, 3, 5, 9)} == {2} and {r.component_id for r in rows if r.doc_id in (20, 21, 30)} == {20}
+
+
+def test_a_long_list_in_blocks_is_compared_whole(docs_of, monkeypatch):
+    """One list of classes that are too far from one another for the leader to link, with a few links among them."""
+    draw = random.Random(12)
+    base = [f"w{draw.randrange(300)}" for _ in range(200)]
+    pairs = []
+    for n in range(150):
+        words = list(base)
+        for _ in range(draw.choice([1, 7, 9])):
+            words[draw.randrange(200)] = f"x{n}"
+        pairs.append((n, " ".join(words)))
+        if n % 10 == 0:
+            pairs.append((1000 + n, " ".join([*words, "end"])))
+    monkeypatch.setattr(near_dedup, "LONG_LIST", 8)
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    rows = near_dedup.near_duplicates(docs_of(pairs), width=3, percent=85).collect()
+    assert Counter(map(tuple, rows)) == all_pairs(pairs, 3, 85)
+
+
 def test_empty_table(docs_of):
     assert near_dedup.near_duplicates(docs_of([])).count() == 0
 

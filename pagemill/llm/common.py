@@ -7,6 +7,7 @@ that has none set, as in tests.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -20,7 +21,7 @@ def shared_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor shares")
         root = "file://" + tempfile.mkdtemp(prefix="pagemill-")
         spark.conf.set("spark.checkpoint.dir", root)
@@ -51,13 +52,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete every intermediate table that this process has written; results that read them end with it."""
+def written() -> int:
+    """How many tables this process has written and not released."""
+    return len(_written)
+
+
+def release(spark: SparkSession, first: int = 0, last: int | None = None) -> None:
+    """Delete the intermediate tables that this process has written (or those from ``first`` to ``last``); results that read them end with it."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+    for gone in _written[first:last]:
+        path = jvm.org.apache.hadoop.fs.Path(gone)
         path.getFileSystem(conf).delete(path, True)
+    del _written[first:last]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pagemill.llm.common import table
 
 def plain_stages(rows, items):
     """doc_ids that stay after each stage, by plain Python."""
-    letters = [(i, t) for i, t in rows if langid._LETTER.search(t or "")]
+    letters = [(i, t) for i, t in rows if re.search(r"[^\W\d_]", t or "")]  # each letter has some language
     groups = defaultdict(list)
     for i, t in letters:
         groups[re.sub(r"[\x20\x09-\x0D]", "", t)].append((-len(t), i, t))
@@ -55,12 +55,15 @@ def test_every_stage_keeps_what_plain_python_keeps(spark):
     sf_dir = "/root/testdata/sf0.001"
     docs = table(spark, sf_dir, "documents")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
+    languages = {r.doc_id: r.lang_pred for r in langid.language_id(docs).collect()}
     want = plain_stages(rows, [r.text for r in table(spark, sf_dir, "benchmark").collect()])
     kept = docs
     for (name, stage), ids in zip(corpus_pipeline.STAGES[:-1], want, strict=True):
         kept = stage(spark, kept, sf_dir)
         assert kept.columns == docs.columns
-        assert {r.doc_id for r in kept.select("doc_id").collect()} == ids, name
+        found = kept.select("doc_id", "lang").collect()
+        assert {r.doc_id for r in found} == ids, name
+        assert all(r.lang == languages[r.doc_id] for r in found)  # the predicted one, from the first stage on
     pieces = corpus_pipeline.STAGES[-1][1](spark, kept, sf_dir).collect()
     enc, texts = tokens.Encoder(tokens.default_path()), dict(rows)
     held = defaultdict(int)
@@ -70,6 +73,19 @@ def test_every_stage_keeps_what_plain_python_keeps(spark):
     assert corpus_pipeline.run(spark, sf_dir).count() == len(pieces)
 
 
+def test_languages_that_are_not_asked_for_go(spark, monkeypatch):
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    languages = {r.doc_id: r.lang_pred for r in langid.language_id(docs).collect()}
+    monkeypatch.setattr(corpus_pipeline, "LANGUAGES", ("en", "es"))
+    kept = corpus_pipeline.language_id(spark, docs, "/root/testdata/sf0.001").collect()
+    assert {r.doc_id: r.lang for r in kept} == {i: lang for i, lang in languages.items() if lang in ("en", "es")} and len(kept) < len(languages)
+
+
+def test_a_corpus_without_labels_stays_whole(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents").selectExpr("doc_id", "text", "CAST(NULL AS string) AS lang", "source", "n_chars")
+    assert corpus_pipeline.language_id(spark, docs, "/root/testdata/sf0.001").count() == docs.count()
+
+
 def test_an_empty_table_runs_through(spark):
     docs = table(spark, "/root/testdata/sf0.001", "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:

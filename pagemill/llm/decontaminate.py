@@ -1,32 +1,32 @@
 """Benchmark decontamination: CGK embedding, bit-sampling LSH, exact edit verification.
 
 Texts are sequences of words: what white space parts, in lower case, without anything that is no letter or
-digit.  A document is contaminated by an item of n words when some stretch of it is within
-``floor(rate * n)`` word edits (insert, delete, replace) of the whole item.
+digit; in scripts that are written without spaces each character is a word.  A document is contaminated by an
+item of n words when some stretch of it is within ``floor(rate * n)`` word edits (insert, delete, replace) of
+the whole item.  Items of fewer than ``min_words`` words, which a few edits would make match clean texts, count
+where all their words stand one after the other.
 
 The CGK embedding reads a window by a random walk: at step j it writes the word it stands on and goes on by
-one if a random bit of (j, word) is 1.  Windows that are a few edits apart then agree at most steps, so edit
-distance turns into Hamming distance, and sampling steps is an LSH for it.  Two of the ``coordinates`` are
-the window's first two words, which need no walk: windows that start with no item's pair are given up at
-once.  The others are drawn anew for each repeat; ``repeats`` follows from ``target_recall``, given that
-related windows agree at a step with probability ``agreement``.
-
-Items are taken in classes of like size, from ``low`` to ``2 * low - 1`` words.  A window walks over at most
-``low / 2`` words.  Windows start at every word of an item as long as they stay in it, and at every
-``low / 4``-th word of the documents, so each occurrence is met by several windows in each repeat.
-
-The walk alone loses occurrences, as edits in the first pairs of all windows that meet one hide it in every
-repeat.  So each item is also cut into pieces, one more than it may have edits: an occurrence has at least one
-piece without an edit, and wherever a piece's words stand in a text is a candidate.  Nothing is lost there.
+one if a random bit of (j, word) is 1.  Windows that are a few edits apart then agree at many steps, so edit
+distance turns into Hamming distance, and sampling steps is an LSH for it: a repeat draws ``coordinates`` steps,
+and windows that agree at all of them are a candidate.  ``repeats`` follows from ``target_recall``, given that
+related windows agree at a step with probability ``agreement``; every coordinate is drawn anew for each repeat,
+and ``SAMPLES`` repeats share the walks of one embedding.
+
+Items are taken in classes of like size, from ``low`` to ``2 * low - 1`` words; the walk of a class takes
+``low / 2`` steps, ``MAX_STEPS`` at most.  Windows start at every word of an item and at every ``low / 4``-th word of the documents,
+from another first word for each embedding, so an occurrence is met by several windows in each repeat, and not
+by the same ones in all.  Windows whose sampled steps stand on fewer than three words of the item tell too
+little and are left out.  tests/llm measures recall at the edit limit for each size and kind of edit.
 
 Candidates whose words can't reach the item's are dropped by counting; the rest are compared by Myers'
 bit-parallel edit distance in full.  Words of no item are one symbol: they match nothing either way.
 
-Items go to the executors in blocks of at most ``ITEMS_A_BLOCK``; each block is held against all documents.
+Items go to the executors in blocks of at most ``WORDS_A_BLOCK`` words (or one item); each block is held against
+all documents.
 
-Defined results: a null or empty text has no hits; items of fewer than ``min_words`` words take no part, as
-they would match clean texts; repeated rows and items get their rows each; null ids are carried along; an
-empty table gives an empty result; other columns are ignored.
+Defined results: a null or empty text has no hits; an item without a word takes no part; repeated rows and items
+get their rows each; null ids are carried along; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -49,18 +49,30 @@ MIN_WORDS = 8
 COORDINATES = 4
 AGREEMENT = 0.65
 TARGET_RECALL = 0.97
-ITEMS_A_BLOCK = 20_000
+#: Repeats that sample the steps of one embedding.
+SAMPLES = 3
+#: Steps of a walk at most: two walks that an edit has set apart drift, and long ones would seldom agree at their ends.
+MAX_STEPS = 32
+WORDS_A_BLOCK = 250_000
 #: Different raw words a worker remembers before it starts anew.
 MAX_WORDS = 500_000
 #: Candidates counted at a time.
 MAX_COUNTED = 1 << 16
 _OTHER = re.compile(r"[\W_]+")
+#: Thai, Lao, Burmese, Khmer, kana and Han.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 def repeats_for(target: float, agreement: float = AGREEMENT, coordinates: int = COORDINATES) -> int:
     return max(1, math.ceil(math.log(1 - target) / math.log(1 - agreement**coordinates)))
 
 
+def raw_words(text: str) -> list[str]:
+    if not text.isascii() and _UNSPACED.search(text):
+        text = _UNSPACED.sub(lambda c: f" {c[0]} ", text)
+    return text.split()
+
+
 def plain(word: str) -> str:
     return _OTHER.sub("", word).lower()
 
@@ -98,16 +110,75 @@ def edits(places: dict[int, int], m: int, text: list[int]) -> tuple[int, int]:
     return best, end
 
 
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+class _Repeat:
+    """Items' windows under the words at one draw of steps."""
+
+    def __init__(self, steps: tuple[int, ...], symbols: list[np.ndarray], item: np.ndarray, shift: np.ndarray):
+        self.steps = steps
+        self.first = np.zeros(0, bool)
+        if not len(item):
+            return
+        self.first = np.zeros(int(symbols[0].max()) + 1, bool)
+        self.first[symbols[0]] = True
+        self.room = np.uint64(64 - min(22, max(14, len(item).bit_length() + 4)))
+        self.second = np.zeros(1 << (64 - int(self.room)), bool)
+        keys = symbols[0].astype(np.uint64)
+        for k, s in enumerate(symbols[1:]):
+            keys = self._joined(keys, s)
+            if not k:
+                self.second[(keys >> self.room).astype(np.int64)] = True
+        order = np.argsort(keys, kind="stable")
+        self.item, self.shift = item[order].astype(np.int32), shift[order].astype(np.int32)
+        self.keys, begin = np.unique(keys[order], return_index=True)
+        self.begin = np.append(begin, len(order))
+
+    @staticmethod
+    def _joined(key: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        return (key * _ODD + symbol.astype(np.uint64) + np.uint64(1)) * _ODD
+
+    def found(self, x: np.ndarray, starts: np.ndarray, at: dict[int, np.ndarray]) -> np.ndarray:
+        """(item, where it would start) of the windows at ``starts``."""
+        if not len(self.first):
+            return np.zeros((2, 0), np.int64)
+        symbol = x[at[self.steps[0]]]
+        alive = np.flatnonzero(self.first[np.minimum(symbol, len(self.first) - 1)] & (symbol < len(self.first)))
+        key = symbol[alive].astype(np.uint64)
+        for k, step in enumerate(self.steps[1:]):
+            key = self._joined(key, x[at[step][alive]])
+            if not k:
+                likely = self.second[(key >> self.room).astype(np.int64)]
+                alive, key = alive[likely], key[likely]
+        place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        right = self.keys[place] == key
+        own, place = starts[alive[right]], place[right]
+        low, many = self.begin[place], self.begin[place + 1] - self.begin[place]
+        listed = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+        return np.stack([self.item[listed].astype(np.int64), np.repeat(own, many) - self.shift[listed]])
+
+
+def walk(x: np.ndarray, starts: np.ndarray, bits: list[np.ndarray], wanted: set[int]) -> dict[int, np.ndarray]:
+    """Where the walks from ``starts`` stand at the wanted steps.  ``bits``: for every place of ``x`` its word's random bits, 64 steps each."""
+    at, out = starts, {}
+    for step in range(max(wanted) + 1):
+        if step in wanted:
+            out[step] = at
+        at = at + (bits[step // 64][at] >> np.uint64(step % 64) & np.uint64(1)).astype(at.dtype)
+    return out
+
+
 class Index:
-    """Items' windows under their sampled steps, as a trie a repeat and size class."""
+    """Items' windows under their sampled steps, for each repeat and size class."""
 
     def __init__(self, items: list[tuple], rate: float, min_words: int, coordinates: int, repeats: int):
-        split = [(i, [w for w in map(plain, (t or "").split()) if w]) for i, t in items]
-        split = [(i, w) for i, w in split if len(w) >= max(1, min_words)]
+        split = [(i, [w for w in map(plain, raw_words(t or "")) if w]) for i, t in items]
+        split = [(i, w) for i, w in split if w]
         self.known: dict[str, int] = {}
         self.ids, self.words = [i for i, _ in split], [[self.known.setdefault(x, len(self.known) + 1) for x in w] for _, w in split]
         self.size = [len(w) for w in self.words]
-        self.most = [math.floor(rate * n) for n in self.size]
+        self.most = [math.floor(rate * n) if n >= min_words else 0 for n in self.size]
         self.places: list[dict[int, int]] = []
         for w in self.words:
             p: dict[int, int] = {}
@@ -116,114 +187,72 @@ class Index:
             self.places.append(p)
         self.n_symbols = len(self.known) + 1
         self.symbols = _Symbols(self.known)
-        draw = np.random.default_rng(711)
-        classes: dict[int, list[int]] = {}
-        for k, n in enumerate(self.size):
-            classes.setdefault(1 << (n.bit_length() - 1), []).append(k)
         owner = np.repeat(np.arange(len(self.size)), self.size)
         self.held = np.unique(owner * self.n_symbols + np.array([x for w in self.words for x in w], np.int64)) if self.size else np.zeros(0, np.int64)
-        self.classes = [self._class(low, members, coordinates, repeats, draw) for low, members in sorted(classes.items())]
-        pairs = [w[k] * self.n_symbols + w[k + 1] for w in self.words for k in range(len(w) - 1)]
-        self.pairs = np.zeros(1 << 22, bool)
-        self.pairs[self._slot(np.array(pairs, np.int64))] = True
-        self.pieces = self._pieces()
+        groups: dict[int, list[int]] = {}
+        for k, n in enumerate(self.size):
+            # items that have to stand whole are looked up by all their words
+            groups.setdefault(1 << (n.bit_length() - 1) if self.most[k] else -n, []).append(k)
+        self.whole = [self._repeat(tuple(range(-n)), members) for n, members in sorted(groups.items()) if n < 0]
+        self.classes = [(low, members) for low, members in sorted(groups.items()) if low > 0]
+        draw = np.random.default_rng(711)
+        self.embeddings = []
+        self.most_steps = max((self._steps(low) for low, _ in self.classes), default=0)
+        for e in range(-(-repeats // SAMPLES)):
+            bits = draw.integers(0, 1 << 64, size=(-(-self.most_steps // 64), self.n_symbols), dtype=np.uint64)
+            n = min(SAMPLES, repeats - e * SAMPLES)
+            self.embeddings.append((bits, [self._class(low, members, coordinates, n, e, bits, draw) for low, members in self.classes]))
 
     @staticmethod
-    def _slot(pair: np.ndarray) -> np.ndarray:
-        return (pair * -7046029254386353131 >> 42) & ((1 << 22) - 1)
+    def _steps(low: int) -> int:
+        return max(6, min(low // 2, MAX_STEPS))
 
-    def _class(self, low, members, coordinates, repeats, draw):
-        usable, stride = max(2, low // 2), max(1, low // 4)
-        flat = np.array([x for k in members for x in self.words[k]], np.int64)
+    def _flat(self, members):
+        """The members' words, and for each of them the item, the place in it and the item's end."""
         size = np.array([self.size[k] for k in members])
-        count = size - usable + 1
-        owner = np.repeat(np.arange(len(members)), count)
-        shift = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-        start = (np.cumsum(size) - size)[owner] + shift
-        first, node = np.unique(flat[start] * self.n_symbols + flat[start + 1], return_inverse=True)
-        tries = [self._trie(flat, start, node, np.array(members)[owner], shift, usable, coordinates - 2, draw) for _ in range(repeats)]
-        return stride, usable, first, tries
-
-    def _trie(self, flat, start, node, item, shift, usable, coordinates, draw):
-        steps = 1 + np.sort(draw.choice(usable - 1, min(coordinates, usable - 1), replace=False))
-        bits = draw.integers(0, 2, size=(int(steps[-1]) + 1 if len(steps) else 1, self.n_symbols), dtype=np.int8)
-        at, levels, step = start, [], 0
-        for s in steps.tolist():
-            for j in range(step, s):
-                at = at + bits[j][flat[at]]
-            step = s
-            codes, node = np.unique(node * self.n_symbols + flat[at], return_inverse=True)
-            levels.append(codes)
-        order = np.argsort(node, kind="stable")
-        ends = np.cumsum(np.bincount(node))
-        return steps.tolist(), bits, levels, item[order], shift[order], ends
-
-    def _pieces(self):
-        """Each item cut into one piece more than it may have edits, as a trie a length of piece."""
-        cut: dict[int, list[tuple[int, int]]] = {}
-        for k, (n, most) in enumerate(zip(self.size, self.most, strict=True)):
-            ends = [n * j // (most + 1) for j in range(most + 2)]
-            for a, b in zip(ends, ends[1:]):
-                if b > a:
-                    cut.setdefault(b - a, []).append((k, a))
-        tries = []
-        for length, members in sorted(cut.items()):
-            words = np.array([self.words[k][a : a + length] for k, a in members], np.int64)
-            item, shift = np.array(members, np.int64).T
-            node, levels = np.zeros(len(members), np.int64), []
-            for j in range(length):
-                codes, node = np.unique(node * self.n_symbols + words[:, j], return_inverse=True)
-                levels.append(codes)
-            order = np.argsort(node, kind="stable")
-            tries.append((levels, item[order], shift[order], np.cumsum(np.bincount(node))))
-        return tries
+        flat = np.array([x for k in members for x in self.words[k]], np.int32)
+        begin = np.repeat(np.cumsum(size) - size, size)
+        return flat, np.repeat(np.array(members), size), np.arange(len(flat)) - begin, begin + np.repeat(size, size)
+
+    def _repeat(self, steps, members):
+        """A repeat that reads its words in a row, from the first one of each item."""
+        flat, item, shift, _ = self._flat(members)
+        start = np.flatnonzero(shift == 0)
+        return _Repeat(steps, [flat[start + s] for s in steps], item[start], shift[start])
+
+    def _class(self, low, members, coordinates, samples, embedding, bits, draw):
+        flat, item, shift, end = self._flat(members)
+        n_steps, stride = self._steps(low), max(1, low // 4)
+        padded = np.concatenate([flat, np.zeros(n_steps + 1, np.int32)])
+        drawn = [tuple(sorted(draw.choice(n_steps, min(coordinates, n_steps), replace=False).tolist())) for _ in range(samples)]
+        wanted = {s for steps in drawn for s in steps}
+        at = walk(padded, np.arange(len(flat)), [b[padded] for b in bits], wanted)
+        repeats = []
+        for steps in drawn:
+            places = np.stack([at[s] for s in steps])
+            tells = (places[-1] < end) & (1 + (np.diff(places, axis=0) > 0).sum(axis=0) >= min(3, coordinates))
+            repeats.append(_Repeat(steps, [padded[p[tells]] for p in places], item[tells], shift[tells]))
+        return stride, embedding * 0.6180339887 % 1, wanted, repeats
 
     def candidates(self, x: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Items and the places where they would start in the ``n`` symbols at the head of ``x``; what follows them is padding."""
-        wide = x.astype(np.int64)
-        pair = wide[:n] * self.n_symbols + wide[1 : n + 1]
-        likely = self.pairs[self._slot(pair)]
         found = [np.zeros((2, 0), np.int64)]
-        for stride, _, first, tries in self.classes:
-            starts = np.flatnonzero(likely[::stride]) * stride
-            root = np.minimum(np.searchsorted(first, pair[starts]), len(first) - 1)
-            right = first[root] == pair[starts]
-            starts, root = starts[right], root[right]
-            for steps, bits, levels, item, shift, ends in tries:
-                at, own, node, step = starts, starts, root, 0
-                for codes, s in zip(levels, steps, strict=True):
-                    for j in range(step, s):
-                        at = at + bits[j][x[at]]
-                    step = s
-                    code = node * self.n_symbols + x[at]
-                    node = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
-                    alive = codes[node] == code
-                    at, own, node = at[alive], own[alive], node[alive]
-                found.append(self._listed(own, node, item, shift, ends))
-        for levels, item, shift, ends in self.pieces:
-            own = np.flatnonzero(likely if len(levels) > 1 else x[:n])
-            node = np.zeros(len(own), np.int64)
-            for j, codes in enumerate(levels):
-                code = node * self.n_symbols + wide[own + j]
-                node = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
-                alive = codes[node] == code
-                own, node = own[alive], node[alive]
-            found.append(self._listed(own, node, item, shift, ends))
+        if self.whole:
+            starts = np.flatnonzero(x[:n])
+            found += [repeat.found(x, starts, {s: starts + s for s in repeat.steps}) for repeat in self.whole]
+        for bits, classes in self.embeddings:
+            own = [b[x] for b in bits]
+            for stride, phase, wanted, repeats in classes:
+                starts = np.arange(int(phase * stride), n, stride)
+                at = walk(x, starts, own, wanted)
+                found += [repeat.found(x, starts, at) for repeat in repeats]
         item, start = np.concatenate(found, axis=1)
         room, least = n + 2 * max(self.size), max(self.size)
         item, start = np.divmod(np.unique(item * room + start + least), room)
         start = start - least
-        parts = [self._possible(wide, n, item[k : k + MAX_COUNTED], start[k : k + MAX_COUNTED]) for k in range(0, len(item), MAX_COUNTED)]
+        parts = [self._possible(x, n, item[k : k + MAX_COUNTED], start[k : k + MAX_COUNTED]) for k in range(0, len(item), MAX_COUNTED)]
         return tuple(np.concatenate(p) for p in zip(*parts, strict=True)) if parts else (item, start)
 
-    @staticmethod
-    def _listed(own, node, item, shift, ends):
-        """The items at each place's node, and where they would start."""
-        low = np.where(node > 0, ends[node - 1], 0)
-        many = ends[node] - low
-        place = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
-        return np.stack([item[place], np.repeat(own, many) - shift[place]])
-
     def _possible(self, x, n, item, start):
         """Those whose stretch holds enough of the item's words, counted without order."""
         size, most = np.array(self.size)[item], np.array(self.most)[item]
@@ -239,13 +268,13 @@ class Index:
 
     def hits(self, texts: list[str]) -> list[tuple[int, int, int, int]]:
         """(text, item, word where it starts about, edits), the best of each text and item."""
-        symbols = [np.fromiter(map(self.symbols.__getitem__, words), np.int32, len(words)) for words in (t.split() for t in texts)]
+        symbols = [np.fromiter(map(self.symbols.__getitem__, words), np.int32, len(words)) for words in map(raw_words, texts)]
         symbols = [s[s >= 0] for s in symbols]
         ends = np.cumsum([len(s) for s in symbols])
         n = int(ends[-1]) if len(symbols) else 0
-        if not n or not self.classes:
+        if not n or not self.size:
             return []
-        pad = max(self.size) + 1
+        pad = max(max(self.size), self.most_steps) + 1
         x = np.concatenate([*symbols, np.zeros(pad, np.int32)])
         found = []
         for doc, item, a, b in zip(*(c.tolist() for c in self._stretches(ends, *self.candidates(x, n))), strict=True):
@@ -282,14 +311,17 @@ def _index(shared, *options) -> Index:
 
 
 def blocks_of(benchmark: DataFrame, item_col: str, text_col: str, most: int) -> Iterator[list[tuple]]:
-    """The items in blocks, in the order of their ids."""
+    """The items in blocks of at most ``most`` words or one item, in the order of their ids."""
     rows = benchmark.select(F.col(f"`{item_col}`").alias("item"), F.col(f"`{text_col}`").alias("text")).orderBy("item", "text")
     block: list[tuple] = []
+    room = most
     for row in rows.toLocalIterator():
-        block.append(tuple(row))
-        if len(block) == most:
+        n = len(raw_words(row.text or ""))
+        if block and n > room:
             yield block
-            block = []
+            block, room = [], most
+        block.append(tuple(row))
+        room -= n
     if block:
         yield block
 
@@ -305,7 +337,7 @@ def contamination(
     min_words: int = MIN_WORDS,
     coordinates: int = COORDINATES,
     target_recall: float = TARGET_RECALL,
-    items_a_block: int = ITEMS_A_BLOCK,
+    words_a_block: int = WORDS_A_BLOCK,
     id_col: str = "doc_id",
     text_col: str = "text",
     item_col: str = "item_id",
@@ -333,13 +365,13 @@ def contamination(
         return find
 
     found = None
-    for block in blocks_of(benchmark, item_col, item_text_col, items_a_block):
+    for block in blocks_of(benchmark, item_col, item_text_col, words_a_block):
         part = rows.mapInArrow(finder(spark.sparkContext.broadcast(block)), schema)
         found = part if found is None else found.unionByName(part)
     return found if found is not None else spark.createDataFrame([], schema)
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, min_words: int = MIN_WORDS, coordinates: int = COORDINATES, target_recall: float = TARGET_RECALL, items_a_block: int = ITEMS_A_BLOCK, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, min_words: int = MIN_WORDS, coordinates: int = COORDINATES, target_recall: float = TARGET_RECALL, words_a_block: int = WORDS_A_BLOCK, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The documents that hold no item, as they came; nothing is shuffled."""
     bounded_batches(docs.sparkSession)
     spark, options, at = docs.sparkSession, _options(rate, min_words, coordinates, target_recall), docs.columns.index(text_col)
@@ -355,6 +387,6 @@ def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, min_words:
 
         return keep
 
-    for block in blocks_of(benchmark, item_col, item_text_col, items_a_block):
+    for block in blocks_of(benchmark, item_col, item_text_col, words_a_block):
         docs = docs.mapInArrow(keeper(spark.sparkContext.broadcast(block)), docs.schema)
     return docs

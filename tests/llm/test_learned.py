@@ -156,7 +156,7 @@ def test_recall_and_precision_against_brute_force(spark):
     draw = random.Random(8)
     vocabulary = [f"w{int(draw.paretovariate(0.6))}" for _ in range(20_000)]
     items = [(k, [draw.choice(vocabulary) for _ in range(draw.choice([8, 12, 17, 30, 45, 100]))]) for k in range(60)]
-    items += [(100, ["few", "words"]), (101, [])]
+    items += [(100, ["few", "words"]), (101, []), (102, ["short", "items", "stand", "whole", "or", "not"]), (103, list("没有空格的文本也要找到"))]
     docs, planted = [], {}
     for n in range(400):
         words = [draw.choice(vocabulary) for _ in range(draw.choice([0, 5, 60, 400]))]
@@ -166,17 +166,23 @@ def test_recall_and_precision_against_brute_force(spark):
             words[at:at] = edited(own, draw.randrange(math.floor(0.2 * len(own)) + 1), draw, vocabulary)
             planted[n] = item
         docs.append((n, draw.choice([" ", "\n"]).join(w.upper() + draw.choice(["", ".", ","]) for w in words)))
-    docs += [(1000, None), (1001, ""), (1002, "- -- ."), (1003, "few words"), (None, " ".join(items[0][1])), (1004, "long " * 200_000 + " ".join(items[1][1]))]
-    want = {(i, k) for i, t in docs for k, own in items if len(own) >= 8 and distance(own, [w for w in map(decontaminate.plain, (t or "").split()) if w]) <= math.floor(0.2 * len(own))}
+    docs += [(1010, "a few Words."), (1011, "few other words"), (1012, "x short items stand whole or not y"), (1013, "short items stand or not"), (1014, "他说：没有空格的文本也要找到。"), (1015, "没有空格的文章还要找到"), (1016, "没有空格")]
+    docs += [(1000, None), (1001, ""), (1002, "- -- ."), (1003, "few words"), (None, " ".join(items[0][1])), (1004, "long " * 30_000 + " ".join(items[1][1]))]
+    spaced = lambda t: [w for w in map(decontaminate.plain, re.sub("([\u4e00-\u9fff])", r" \1 ", t or "").split()) if w]
+    most = lambda own: math.floor(0.2 * len(own)) if len(own) >= 8 else 0
+    far = {(i, k): distance(own, spaced(t)) for i, t in docs for k, own in items if own}
+    want = {(i, k) for i, t in docs for k, own in items if own and far[i, k] <= most(own)}
+    assert {(1003, 100), (1010, 100), (1012, 102), (1014, 103), (1015, 103)} <= want and not {(1011, 100), (1013, 102), (1016, 103)} & want
     assert all((n, k) in want for n, k in planted.items())
     frame = spark.createDataFrame([(i, t, 1, "x", 2) for i, t in docs], "doc_id long, text string, item_id int, at_word string, edits int").repartition(4)
     bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items] + [(None, None)], "item_id long, text string")
-    found = decontaminate.contamination(frame, bench, items_a_block=40).collect()
+    found = decontaminate.contamination(frame, bench, words_a_block=900).collect()
     got = {(r.doc_id, r.item_id) for r in found}
     assert got <= want and len(got) >= 0.97 * len(want)
-    exact = {(i, k) for i, t in docs for k, own in items if len(own) >= 8 and distance(own, [w for w in map(decontaminate.plain, (t or "").split()) if w]) == 0}
+    exact = {(i, k) for i, t in docs for k, own in items if own and not far[i, k]}
+    assert all(r.edits == far[r.doc_id, r.item_id] for r in found)
     assert exact <= got
-    kept = decontaminate.clean(frame, bench, items_a_block=40)
+    kept = decontaminate.clean(frame, bench, words_a_block=900)
     assert kept.columns == frame.columns
     assert Counter(r.doc_id for r in kept.collect()) == Counter(i for i, _ in docs) - Counter({i for i, _ in got})
     assert decontaminate.contamination(frame.limit(0), bench).count() == 0
@@ -184,14 +190,30 @@ def test_recall_and_precision_against_brute_force(spark):
     assert decontaminate.clean(frame, bench.limit(0)).count() == len(docs)
 
 
-@pytest.mark.parametrize("n", [8, 15, 16, 17, 31, 32, 33, 64])
-def test_no_occurrence_within_the_rate_is_lost(n):
-    """Items with exactly as many edits as they may have, at every alignment; for short ones every choice of replaced words."""
-    draw, most = random.Random(n), math.floor(0.2 * n)
-    item = [f"i{k}" for k in range(n)]
+def at_the_limit(item, kind, draw):
+    """The item with exactly as many edits of a kind as it may have."""
+    words, most = list(item), math.floor(0.2 * len(item))
+    if kind == "replace":
+        for at in draw.sample(range(len(words)), most):
+            words[at] = f"r{draw.randrange(50)}"
+    elif kind == "delete":
+        gone = set(draw.sample(range(len(words)), most))
+        words = [w for k, w in enumerate(words) if k not in gone]
+    else:
+        for _ in range(most):
+            words.insert(draw.randrange(1, len(words)), f"r{draw.randrange(50)}")
+    return words
+
+
+@pytest.mark.parametrize("n", [8, 16, 32, 64, 65, 128, 130, 300])
+def test_recall_at_the_edit_limit(n):
+    """Occurrences with as many edits as allowed, at every alignment: the repeats' target is reached for each size and kind of edit."""
+    draw, item = random.Random(n), [f"i{k}" for k in range(n)]
     index = decontaminate.Index([("it", " ".join(item))], decontaminate.RATE, decontaminate.MIN_WORDS, decontaminate.COORDINATES, decontaminate.repeats_for(decontaminate.TARGET_RECALL))
-    choices = list(itertools.combinations(range(n), most)) if n < 20 else [draw.sample(range(n), most) for _ in range(600)]
-    texts = [" ".join(["o"] * (k % n) + ["r" if at in places else w for at, w in enumerate(item)] + ["o"] * 3) for k, places in enumerate(choices)]
-    texts += [" ".join(["o"] * draw.randrange(n) + edited(item, most, draw, [*item, "r"])) for _ in range(300)]
-    assert {h[0] for h in index.hits(texts)} == set(range(len(texts)))
-    assert index.hits([" ".join(["o", *("r" if at % (n // (most + 1)) == 0 else w for at, w in enumerate(item))])]) == []
+    for kind in ("replace", "delete", "insert"):
+        texts = [" ".join(["o"] * draw.randrange(2 * n) + at_the_limit(item, kind, draw) + ["o"] * draw.randrange(n)) for _ in range(500)]
+        recall = len({h[0] for h in index.hits(texts)}) / len(texts)
+        print(f"{n} words, {kind}: recall {recall:.3f}")
+        assert recall >= decontaminate.TARGET_RECALL
+    far = ["r" if at % (n // (n // 5 + 1)) == 0 else w for at, w in enumerate(item)]
+    assert index.hits([" ".join(["o", *far])]) == []

@@ -2,22 +2,29 @@
 
 Words are the runs of letters, digits and characters beyond ASCII; A-Z count as a-z.  *Base* finds every
 place where a fixed phrase's words stand one after the other.  The *method* is an exact set-similarity
-join between text blocks (lines) and license templates: a pair qualifies when the block holds at least
-``threshold`` of the template's distinct words.
+join between text blocks and license templates: a pair qualifies when the block holds at least ``threshold``
+of the template's distinct words.
 
-Tokens are ordered by how many lines of the whole table hold them, rarest first.  Only tokens of a
+Blocks take no notice of lines, so a notice is found however it is wrapped or set off as a comment.  For
+templates of up to L words (L a power of two, 8 at least) they are stretches of 2 L words that begin at every
+L-th word: each stretch of L words lies whole in one of them, and they cover the text.
+
+Tokens are ordered by how many documents of the whole table hold them, rarest first.  Only tokens of a
 template can make an overlap, so blocks are cut to those.  With ``need = ceil(threshold * size)``:
 
-* prefix filter: block and template must share one of the template's ``size - need + 1`` rarest tokens;
+* prefix filter: block and template must share one of the template's ``size - need + 1`` rarest tokens, so
+  only blocks around such a word are looked at;
 * length filter: the block must hold ``need`` template tokens;
 * positional filter: with the shared token at positions i and j, ``1 + min(tokens after i, tokens after j)``
-  plus what can stand before must reach ``need``;
+  must reach ``need`` for the first token that is shared;
 * the pairs that are left are compared whole.
 
-The templates are a parameter and bounded by ``MAX_TEMPLATE_TOKENS``; that bound covers what is broadcast.
+Blocks are made within a document's row and joined with the templates by token, so nothing but the results is
+shuffled.  The templates are a parameter and bounded by ``MAX_TEMPLATE_TOKENS``; that bound covers what is broadcast.
 
-Defined results: null and empty texts have no words, null positions, empty labels and score 0; repeated
-rows each get their row; an empty table gives an empty result; other columns are ignored.
+Defined results: null and empty texts have no words, null positions, empty labels and score 0; rows that repeat
+a doc_id, null ones too, each get a row of their own text; an empty table gives an empty result; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -31,8 +38,6 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
-
 #: Phrases and their labels.
 PHRASES = {
     "gnu general public license": "gpl",
@@ -74,38 +79,42 @@ def n_words(text: Column) -> Column:
     return F.regexp_count(text, F.lit(rf"{WORD}++")).cast("long")
 
 
-def base_scan(docs: DataFrame, id_col: str, text_col: str, phrases: dict[str, str]) -> DataFrame:
-    """doc_id, text and the base columns."""
+def words_in(text: Column) -> Column:
+    """A text's words in lower case, in order."""
+    return F.filter(F.split(F.translate(text, UPPER, LOWER), rf"{GAP}+"), lambda w: w != "")
+
+
+def base_columns(words: Column, phrases: dict[str, str]) -> dict[str, Column]:
+    """n_base, first_word, last_word and base_labels of the column ``text`` and its words."""
+    if not phrases:
+        none = F.lit(None).cast("long")
+        return {"n_base": F.lit(0).cast("long"), "first_word": none, "last_word": none, "base_labels": F.array().cast("array<string>")}
     anywhere = "(?i)(?:" + "|".join(phrase_pattern(p) for p in phrases) + ")"
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"))
     # a plain search first: few texts hold all words of a phrase anywhere
     lower = F.lower("text")
     likely = reduce(or_, [reduce(and_, [F.contains(lower, F.lit(w)) for w in p.split()]) for p in phrases])
     # cut before each place; the line feed in front adds no word and keeps the first cut from the start
     parts = F.when(likely & F.col("text").rlike(anywhere), F.split(F.concat(F.lit("\n"), "text"), rf"(?={anywhere})")).otherwise(F.array(F.lit("")))
-    rows = rows.withColumn("n_words", n_words(F.col("text"))).withColumn("__parts", parts)
-    found = F.size("__parts") > 1
+    found = F.size(parts) > 1
     labels = [F.when(found & F.col("text").rlike("(?i)" + phrase_pattern(p)), F.lit(label)) for p, label in phrases.items()]
-    return rows.select(
-        "doc_id", "text", "n_words", (F.size("__parts") - 1).cast("long").alias("n_base"),
-        F.when(found, n_words(F.element_at("__parts", 1))).alias("first_word"),
-        F.when(found, F.col("n_words") - n_words(F.element_at("__parts", -1))).alias("last_word"),
-        F.array_sort(F.array_distinct(F.array_compact(F.array(*labels)))).alias("base_labels"),
-    )
+    return {
+        "n_base": (F.size(parts) - 1).cast("long"),
+        "first_word": F.when(found, n_words(F.element_at(parts, 1))),
+        "last_word": F.when(found, F.size(words) - n_words(F.element_at(parts, -1))),
+        "base_labels": F.array_sort(F.array_distinct(F.array_compact(F.array(*labels)))),
+    }
 
 
-def blocks(docs: DataFrame, id_col: str, text_col: str, tokens: list[str]) -> DataFrame:
-    """doc_id, block and its distinct template tokens, for the lines that hold any."""
-    lower = F.translate(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), UPPER, LOWER)
-    lines = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.posexplode(F.split(lower, "\n")).alias("block", "line"))
-    words = F.split("line", rf"{GAP}+")
-    return lines.select("doc_id", "block", F.array_intersect(words, F.array(*map(F.lit, tokens))).alias("tokens")).where(F.size("tokens") > 0)
+def block_words(n: int) -> int:
+    """The class of a template of ``n`` words: the power of two that holds them."""
+    return max(8, 1 << (n - 1).bit_length())
 
 
-def token_order(lines: DataFrame, tokens: list[str]) -> list[str]:
-    """Template tokens, those of the fewest lines of the whole table first; ties by the token."""
-    count = {r.token: r.n for r in lines.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n")).collect()}
+def token_order(docs: DataFrame, text_col: str, tokens: list[str]) -> list[str]:
+    """Template tokens, those that the fewest documents of the whole table hold first; ties by the token."""
+    held = F.array_distinct(F.filter(words_in(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), lambda w: w.isin(tokens)))
+    # one row a template token
+    count = {r.token: r.n for r in docs.select(F.explode(held).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n")).collect()}
     return sorted(tokens, key=lambda t: (count.get(t, 0), t))
 
 
@@ -114,34 +123,12 @@ def literal_rows(spark, rows: list[dict], schema: str) -> DataFrame:
     return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")))
 
 
-def similar_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, block, label, containment: every line and template that meet the threshold."""
-    sets = {label: set(words_of(t)) for label, t in (TEMPLATES if templates is None else templates).items()}
-    sets = {label: words for label, words in sets.items() if words}
-    tokens = sorted(set().union(*sets.values()))
-    if sum(map(len, sets.values())) > MAX_TEMPLATE_TOKENS:
-        raise ValueError(f"templates of more than {MAX_TEMPLATE_TOKENS} tokens; scan them in groups")
-    lines = materialize(blocks(docs, id_col, text_col, tokens), "template-lines")
-    order = token_order(lines, tokens)
-    place = {t: i for i, t in enumerate(order)}
-    postings, whole = [], []
-    for label, words in sets.items():
-        ranked, need = sorted(words, key=place.__getitem__), math.ceil(threshold * len(words) - 1e-9)
-        whole.append({"label": label, "words": ranked})
-        postings += [{"token": t, "label": label, "i": i, "size": len(ranked), "need": need} for i, t in enumerate(ranked[: len(ranked) - need + 1])]
-    spark = docs.sparkSession
-    posted = literal_rows(spark, postings, "token:string,label:string,i:int,size:int,need:int")
-    listed = literal_rows(spark, whole, "label:string,words:array<string>")
-    least = min(p["need"] for p in postings)
-    ranked = lines.where(F.size("tokens") >= least).select("doc_id", "block", F.array_intersect(F.array(*map(F.lit, order)), "tokens").alias("held"))
-    prefix = ranked.select("doc_id", "block", "held", F.posexplode(F.slice("held", F.lit(1), F.size("held") - least + 1)).alias("j", "held_token"))
-    n_held = F.size("held")
-    hit = prefix.join(F.broadcast(posted), prefix["held_token"] == posted["token"]).where(
-        (n_held >= F.col("need")) & (F.col("j") <= n_held - F.col("need")) & (1 + F.least(F.col("size") - 1 - F.col("i"), n_held - 1 - F.col("j")) >= F.col("need"))
-    )
-    compared = hit.join(F.broadcast(listed), "label").withColumn("overlap", F.size(F.array_intersect("held", "words")))
-    found = compared.where(F.col("overlap") >= F.col("need"))
-    return found.groupBy("doc_id", "block", "label").agg(F.max(F.col("overlap") / F.col("size")).alias("containment"))
+def _blocks(words: Column, wide: int, order: list[str], places: Column) -> Column:
+    """(wide, held) of the blocks of a class that hold one of the given places; held: their template tokens, rarest first."""
+    numbers = F.array_distinct(F.flatten(F.transform(places, lambda i: F.array((i / wide).cast("int"), (i / wide).cast("int") - 1))))
+    ranked = F.array(*map(F.lit, order))
+    held = lambda b: F.array_intersect(ranked, F.slice(words, b * wide + 1, F.lit(2 * wide)))
+    return F.transform(F.filter(numbers, lambda b: b >= 0), lambda b: F.struct(F.lit(wide).alias("wide"), held(b).alias("held")))
 
 
 def license_scan(
@@ -153,13 +140,39 @@ def license_scan(
     threshold: float = THRESHOLD,
 ) -> DataFrame:
     """One row a document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
-    base = base_scan(docs, id_col, text_col, PHRASES if phrases is None else phrases).drop("text")
-    similar = similar_blocks(docs, id_col, text_col, templates, threshold)
-    by_doc = similar.groupBy(F.col("doc_id").alias("m_doc_id")).agg(F.collect_set("label").alias("m_labels"), F.max("containment").alias("m_score"))
-    both = base.join(by_doc, base["doc_id"].eqNullSafe(by_doc["m_doc_id"]), "left")
-    labels = F.array_sort(F.array_union("base_labels", F.coalesce("m_labels", F.array().cast("array<string>"))))
-    return both.select(
+    whole = {label: words_of(t) for label, t in (TEMPLATES if templates is None else templates).items()}
+    whole = {label: words for label, words in whole.items() if words}
+    if sum(map(len, whole.values())) > MAX_TEMPLATE_TOKENS:
+        raise ValueError(f"templates of more than {MAX_TEMPLATE_TOKENS} tokens; scan them in groups")
+    tokens = sorted(set().union(*whole.values())) if whole else []
+    order = token_order(docs, text_col, tokens) if whole else []
+    place = {t: i for i, t in enumerate(order)}
+    postings = []
+    for label, words in whole.items():
+        ranked = sorted(set(words), key=place.__getitem__)
+        need = math.ceil(threshold * len(ranked) - 1e-9)
+        postings += [{"wide": block_words(len(words)), "token": t, "label": label, "i": i, "need": need, "words": ranked} for i, t in enumerate(ranked[: len(ranked) - need + 1])]
+    posted = literal_rows(docs.sparkSession, postings, "wide:int,token:string,label:string,i:int,need:int,words:array<string>")
+    prefix = sorted({p["token"] for p in postings})
+    least = min((p["need"] for p in postings), default=1)
+
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"), words_in(text).alias("words"))
+    places = F.filter(F.transform("words", lambda w, i: F.when(w.isin(prefix), i)), lambda i: i.isNotNull()) if prefix else F.array().cast("array<int>")
+    base = ["row", "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels"]
+    rows = rows.withColumns({"n_words": F.size("words").cast("long"), **base_columns(F.col("words"), PHRASES if phrases is None else phrases), "places": places})
+    blocks = [_blocks(F.col("words"), wide, order, F.col("places")) for wide in sorted({p["wide"] for p in postings})]
+    near = F.filter(F.concat(*blocks), lambda b: F.size(b["held"]) >= least) if blocks else F.array().cast("array<struct<wide:int,held:array<string>>>")
+    one = rows.select(*base, F.explode_outer(near).alias("b")).select(*base, F.col("b.wide").alias("b_wide"), F.col("b.held").alias("held"))
+    n_held = F.size("held")
+    two = one.select(*base, "b_wide", "held", F.posexplode_outer(F.slice("held", F.lit(1), n_held - least + 1)).alias("j", "b_token"))
+    # MAX_TEMPLATE_TOKENS rows at most
+    meets = (F.col("b_token") == F.col("token")) & (F.col("b_wide") == F.col("wide")) & (n_held >= F.col("need")) & (1 + F.least(F.size("words") - 1 - F.col("i"), n_held - 1 - F.col("j")) >= F.col("need"))
+    hit = two.join(F.broadcast(posted), meets, "left").withColumn("overlap", F.size(F.array_intersect("held", "words")))
+    enough = F.col("overlap") >= F.col("need")
+    per = hit.groupBy(*base).agg(F.collect_set(F.when(enough, F.col("label"))).alias("own"), F.max(F.when(enough, F.col("overlap") / F.size("words"))).alias("similar"))
+    return per.select(
         "doc_id", "n_words", "n_base", "first_word", "last_word",
-        F.array_join("base_labels", ",").alias("base_labels"), F.array_join(labels, ",").alias("labels"),
-        F.greatest(F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.lit(0.0)), F.coalesce("m_score", F.lit(0.0))).alias("score"),
+        F.array_join("base_labels", ",").alias("base_labels"), F.array_join(F.array_sort(F.array_union("base_labels", "own")), ",").alias("labels"),
+        F.greatest(F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.lit(0.0)), F.coalesce("similar", F.lit(0.0))).alias("score"),
     )

@@ -74,22 +74,23 @@ def license_sql() -> str:
     lower = f"translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}')"
     quoted = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
     phrases = ", ".join(f"({quoted(p.split())}, '{label}')" for p, label in licenses.PHRASES.items())
-    templates = ", ".join(f"('{label}', {quoted(sorted(set(licenses.words_of(t))))})" for label, t in licenses.TEMPLATES.items())
+    whole = {label: licenses.words_of(t) for label, t in licenses.TEMPLATES.items()}
+    templates = ", ".join(f"('{label}', {quoted(sorted(set(words)))}, {licenses.block_words(len(words))})" for label, words in whole.items())
     return f"""
-WITH w AS (SELECT doc_id, regexp_extract_all({lower}, '{word}') AS words FROM documents),
+WITH w AS (SELECT row_number() OVER () AS n, doc_id, regexp_extract_all({lower}, '{word}') AS words FROM documents),
 p(phrase, label) AS (VALUES {phrases}),
-places AS (SELECT doc_id, label, unnest(list_filter(list_transform(range(len(words)), lambda i: CASE WHEN words[i + 1 : i + len(phrase)] = phrase THEN i END), lambda i: i IS NOT NULL)) AS start FROM w, p),
-b AS (SELECT doc_id, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word, list_sort(list(DISTINCT label)) AS labels FROM places GROUP BY doc_id),
-l AS (SELECT doc_id, list_distinct(regexp_extract_all(line, '{word}')) AS words FROM (SELECT doc_id, unnest(string_split({lower}, chr(10))) AS line FROM documents)),
-t(label, words) AS (VALUES {templates}),
-s AS (SELECT doc_id, label, len(list_intersect(l.words, t.words)) / len(t.words) AS containment FROM l, t
+places AS (SELECT n, label, unnest(list_filter(list_transform(range(len(words)), lambda i: CASE WHEN words[i + 1 : i + len(phrase)] = phrase THEN i END), lambda i: i IS NOT NULL)) AS start FROM w, p),
+b AS (SELECT n, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word, list_sort(list(DISTINCT label)) AS labels FROM places GROUP BY n),
+t(label, words, wide) AS (VALUES {templates}),
+l AS (SELECT n, wide, list_distinct(words[s0 + 1 : s0 + 2 * wide]) AS words FROM (SELECT n, words, wide, unnest(range(0, len(words), wide)) AS s0 FROM w, (SELECT DISTINCT wide FROM t))),
+s AS (SELECT n, label, len(list_intersect(l.words, t.words)) / len(t.words) AS containment FROM l JOIN t USING (wide)
       WHERE len(list_intersect(l.words, t.words)) >= ceil({licenses.THRESHOLD} * len(t.words) - 1e-9)),
-m AS (SELECT doc_id, list(DISTINCT label) AS labels, max(containment) AS score FROM s GROUP BY doc_id)
+m AS (SELECT n, list(DISTINCT label) AS labels, max(containment) AS score FROM s GROUP BY n)
 SELECT w.doc_id, len(w.words)::BIGINT AS n_words, coalesce(b.n_base, 0)::BIGINT AS n_base, b.first_word::BIGINT AS first_word, b.last_word::BIGINT AS last_word,
        coalesce(array_to_string(b.labels, ','), '') AS base_labels,
        array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(m.labels, [])))), ',') AS labels,
        greatest(CASE WHEN b.n_base > 0 THEN 1.0 ELSE 0.0 END, coalesce(m.score, 0.0))::DOUBLE AS score
-FROM w LEFT JOIN b USING (doc_id) LEFT JOIN m USING (doc_id)
+FROM w LEFT JOIN b USING (n) LEFT JOIN m USING (n)
 """
 
 

@@ -1,13 +1,16 @@
 """HTML extraction by layout-aware rendering.
 
 A tree builder keeps the stack of open elements: void elements, implied end tags (p, li, dt, dd, option,
-table rows and cells, head), end tags that match nothing, elements left open.  Every element is visible or
-not (``hidden``, ``display:none``, ``visibility:hidden``, closed dialogs, head, scripts, styles, templates);
-what is hidden hides all within.  Visible text is laid out as it is read: white space collapses but in
-``pre``; blocks start lines and some leave a blank one; list items get a bullet or their number and hang;
-table cells stand in columns.
+table rows and cells, head), end tags that match nothing, elements left open.  An element is shown unless it or
+one around it is not displayed (``hidden``, ``display:none``, closed dialogs, head, scripts, styles, templates);
+``visibility`` hides text, too, but an element within may be visible again.  Both are read from attributes and
+from the page's style elements, where a rule's selector names a tag, classes and an id (selectors that look at
+other elements, and media other than screens, are passed over).  Visible text is laid out as it is read: white
+space collapses but in ``pre``; blocks start lines and some leave a blank one; list items get a bullet or their
+number and hang; table cells stand in columns, with those that span rows and columns keeping theirs.  A cell
+that others follow is wrapped at ``WIDEST`` characters, so that every column has a width.
 
-Nothing recurses and each page is read once, so depth and length don't matter.
+Nothing recurses and each page is read once (twice if it has style elements), so depth and length don't matter.
 
 Defined results: a null or empty page gives an empty text; text outside any tag is visible; an unclosed tag
 or comment runs to the page's end; repeated rows get their rows; an empty table gives an empty result; other
@@ -25,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches
+from .tokens import text_parts
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -49,8 +53,10 @@ IMPLIED = {
     "tfoot": (frozenset("thead tbody tfoot caption".split()), frozenset(["table"])),
 }
 CELLS = frozenset("td th caption".split())
-#: Columns are not padded to cells that are wider.
-WIDEST = 60
+#: Cells that others follow are wrapped at so many characters; words stay whole up to LONGEST.
+WIDEST, LONGEST = 60, 240
+#: Columns that a table is laid out in; cells further right follow one another.
+COLUMNS = 5000
 
 _TAG = re.compile(
     r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*+(?:>|\Z)|</(?P<end>[a-zA-Z][^\s/>]*+)[^>]*+(?:>|\Z)"""
@@ -58,7 +64,8 @@ _TAG = re.compile(
     re.S,
 )
 _ATTR = re.compile(r"""([^\s"'<>/=]++)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_SELECTOR = re.compile(r"(\*|[a-z][a-z0-9-]*)?((?:[.#][\w-]+)*)", re.I)
+_DECLARED = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)\s*(!\s*important)?", re.I)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -108,63 +115,160 @@ class Sheet:
         return "\n".join(line.rstrip() for line in "".join(self.out).split("\n")).strip("\n")
 
 
+def wrapped(text: str) -> list[str]:
+    """Lines of at most WIDEST characters, but for longer words, which are cut at LONGEST."""
+    out = []
+    for line in text.split("\n"):
+        if len(line) <= WIDEST:
+            out.append(line)
+            continue
+        held = ""
+        for word in line.split(" "):
+            for at in range(0, len(word) or 1, LONGEST):
+                part = word[at : at + LONGEST]
+                if held and (at or len(held) + 1 + len(part) > WIDEST):
+                    out.append(held)
+                    held = part
+                else:
+                    held = f"{held} {part}" if held else part
+        out.append(held)
+    return out
+
+
 class Table:
     def __init__(self):
-        self.rows: list[list[tuple[str, int]]] = []
+        self.rows: list[list[tuple[int, int, str]]] = []  # (column, columns it spans, text)
+        self.taken: dict[int, int] = {}  # column -> first row in which it is free
+        self.column = 0
 
-    def cell(self, text: str, span: int) -> None:
+    def row(self) -> None:
+        self.rows.append([])
+        self.column = 0
+
+    def cell(self, text: str, span: int, down: int) -> None:
         if not self.rows:
-            self.rows.append([])
-        self.rows[-1].append((text, span))
+            self.row()
+        row = len(self.rows) - 1
+        while self.taken.get(self.column, 0) > row:
+            self.column += 1
+        first, self.column = self.column, min(self.column + span, COLUMNS)
+        self.rows[-1].append((first, max(1, self.column - first), text))
+        if down > 1:
+            self.taken.update(dict.fromkeys(range(first, self.column), row + down))
 
     def render(self) -> str:
-        widths: list[int] = []
+        n = max((column + span for row in self.rows for column, span, _ in row), default=0)
+        widths, cells, spanning = [0] * n, [], []
         for row in self.rows:
-            column = 0
-            for text, span in row:
-                if len(widths) < column + span:
-                    widths += [0] * (column + span - len(widths))
-                wide = max(map(len, text.split("\n")))
-                if span == 1 and wide <= WIDEST:
+            cells.append([(column, span, wrapped(text) if k + 1 < len(row) else text.split("\n")) for k, (column, span, text) in enumerate(row)])
+            for column, span, lines in cells[-1]:
+                wide = max(map(len, lines))
+                if column + span < n and span == 1:
                     widths[column] = max(widths[column], wide)
-                column += span
+                elif column + span < n:
+                    spanning.append((span, column, wide))
+        for span, column, wide in sorted(spanning):
+            room = sum(widths[column : column + span]) + 2 * (span - 1)
+            widths[column + span - 1] += max(0, wide - room)
+        offset = [0]
+        for wide in widths:
+            offset.append(offset[-1] + wide + 2)
         out = []
-        for row in self.rows:
-            cells = [text.split("\n") for text, _ in row]
-            for k in range(max(map(len, cells), default=0)):
-                line, column = "", 0
-                for cell, (_, span) in zip(cells, row, strict=True):
-                    width = sum(widths[column : column + span]) + 2 * (span - 1)
-                    line += (cell[k] if k < len(cell) else "").ljust(width) + "  "
-                    column += span
+        for row in cells:
+            for k in range(max((len(lines) for _, _, lines in row), default=0)):
+                line = ""
+                for column, _, lines in row:
+                    if k < len(lines) and lines[k]:
+                        line = line.ljust(offset[column]) if len(line) <= max(0, offset[column] - 2) else line + "  "
+                        line += lines[k]
                 out.append(line.rstrip())
         return "\n".join(line for line in out if line)
 
 
+class Rules:
+    """What a page's style elements say about display and visibility."""
+
+    def __init__(self):
+        self.by: dict[str, list[tuple]] = {}
+        self.n = 0
+
+    def read(self, css: str) -> None:
+        css = re.sub(r"/\*.*?(?:\*/|\Z)|<!--|-->", " ", css, flags=re.S)
+        selectors, at, skip, depth = None, 0, 0, 0  # depth of open blocks, and the depth at which skipping began
+        for found in re.finditer(r"[{};]", css):
+            mark, head = found[0], css[at : found.start()].strip()
+            if mark == ";" and (depth == 0 or skip):
+                at = found.end()  # a statement such as @import; within a block it is read whole
+            elif mark == "{":
+                at, depth = found.end(), depth + 1
+                if not skip and head.startswith("@"):
+                    screen = re.match(r"@media\b", head, re.I) and re.search(r"\b(?:screen|all)\b", head, re.I) and not re.search(r"\bnot\b", head, re.I)
+                    skip = 0 if screen else depth
+                    selectors = None
+                elif not skip:
+                    selectors = head
+            elif mark == "}":
+                if not skip and depth and selectors is not None:
+                    self._add(selectors, head)
+                selectors = None
+                if skip == depth:
+                    skip = 0
+                at, depth = found.end(), max(0, depth - 1)
+
+    def _add(self, selectors: str, body: str) -> None:
+        declared = [(name.lower(), value.lower(), bool(strong)) for name, value, strong in _DECLARED.findall(body)]
+        if not declared:
+            return
+        for selector in selectors.split(","):
+            found = _SELECTOR.fullmatch(selector.strip())
+            if not found or not found[0]:
+                continue
+            tag, parts = (found[1] or "*").lower(), re.findall(r"[.#][\w-]+", found[2])
+            ids, classes = {p[1:] for p in parts if p[0] == "#"}, {p[1:] for p in parts if p[0] == "."}
+            weight = (len([p for p in parts if p[0] == "#"]), len([p for p in parts if p[0] == "."]), tag != "*")
+            for name, value, strong in declared:
+                self.n += 1
+                self.by.setdefault(parts[0] if parts else tag, []).append((tag, ids, classes, name, value, (strong, 0, weight, self.n)))
+
+    def told(self, tag: str, given: dict[str, str]) -> dict[str, str]:
+        """display and visibility of an element, as far as it or a rule declares them."""
+        best: dict[str, tuple] = {}
+        if self.by:
+            own_id, own = given.get("id", ""), set(given.get("class", "").split())
+            for key in ("*", tag, "#" + own_id, *("." + c for c in own)):
+                for wanted, ids, classes, name, value, rank in self.by.get(key, ()):
+                    if wanted in ("*", tag) and ids <= {own_id} and classes <= own and rank >= best.get(name, (rank,))[0]:
+                        best[name] = (rank, value)
+        for k, (name, value, strong) in enumerate(_DECLARED.findall(given.get("style", ""))):
+            rank = (bool(strong), 1, (), k)
+            if rank >= best.get(name.lower(), (rank,))[0]:
+                best[name.lower()] = (rank, value.lower())
+        return {name: value for name, (_, value) in best.items()}
+
+
 class Frame:
-    __slots__ = ("tag", "seen", "sheet", "table", "pre", "indent", "number", "span")
+    __slots__ = ("tag", "shown", "visible", "sheet", "table", "pre", "indent", "number", "span", "marker")
 
-    def __init__(self, tag, seen, sheet, table, pre, indent):
-        self.tag, self.seen, self.sheet, self.table, self.pre, self.indent = tag, seen, sheet, table, pre, indent
-        self.number, self.span = None, 1
+    def __init__(self, tag, shown, visible, sheet, table, pre, indent):
+        self.tag, self.shown, self.visible, self.sheet, self.table, self.pre, self.indent = tag, shown, visible, sheet, table, pre, indent
+        self.number, self.span, self.marker = None, (1, 1), ""
 
 
 class Page:
     """The open elements of one page, and where their text goes."""
 
-    def __init__(self):
-        self.sheet = Sheet()
-        self.open = [Frame("", True, self.sheet, None, False, "")]
+    def __init__(self, rules: Rules):
+        self.sheet, self.rules = Sheet(), rules
+        self.open = [Frame("", True, True, self.sheet, None, False, "")]
         self.many: dict[str, int] = {}  # open elements of each tag
 
     def text(self, raw: str) -> None:
         top = self.open[-1]
-        if not top.seen:
-            if top.tag == "head" and raw.strip():
-                self.close_to(len(self.open) - 1)  # text ends the head
-                top = self.open[-1]
-            if not top.seen:
-                return
+        if top.tag == "head" and raw.strip():
+            self.close_to(len(self.open) - 1)  # text ends the head
+            top = self.open[-1]
+        if not (top.shown and top.visible):
+            return
         value = html.unescape(raw) if "&" in raw else raw
         if top.pre:
             top.sheet.lines(value.replace("\r\n", "\n").replace("\r", "\n"))
@@ -193,28 +297,28 @@ class Page:
         if attrs and not attrs.isspace():
             for name, a, b, c in _ATTR.findall(attrs):
                 given.setdefault(name.lower(), a or b or c)
-        seen = top.seen and tag not in HIDDEN and "hidden" not in given and not (tag == "dialog" and "open" not in given)
-        if seen and "style" in given and _UNSEEN.search(given["style"]):
-            seen = False
+        told = self.rules.told(tag, given) if "style" in given or self.rules.by else {}
+        unshown = "hidden" in given or (tag == "dialog" and "open" not in given)
+        shown = top.shown and tag not in HIDDEN and (told["display"] != "none" if "display" in told else not unshown)
+        visible = top.visible if told.get("visibility", "inherit") == "inherit" else told["visibility"] not in ("hidden", "collapse")
         if tag in VOID:
-            if seen and tag == "br":
+            if shown and visible and tag == "br":
                 top.sheet.need, top.sheet.space = (top.sheet.need + 1 if top.sheet.out else 0), False
-            elif seen and tag == "hr":
+            elif shown and tag == "hr":
                 top.sheet.block(2)
             return
-        frame = Frame(tag, seen, top.sheet, top.table, top.pre or tag in ("pre", "textarea", "xmp"), top.sheet.indent)
+        frame = Frame(tag, shown, visible, top.sheet, top.table, top.pre or tag in ("pre", "textarea", "xmp"), top.sheet.indent)
         self.open.append(frame)
         self.many[tag] = self.many.get(tag, 0) + 1
-        if not seen:
+        if not shown:
             return
         if tag == "table":
             frame.table = Table()
         elif tag in ("td", "th") and frame.table:
             frame.sheet = Sheet()
-            span = given.get("colspan") or "1"
-            frame.span = min(max(int(span), 1), 1000) if span.isascii() and span.isdigit() else 1
+            frame.span = number(given.get("colspan"), 1000) or 1, number(given.get("rowspan"), 65534, 65534)
         elif tag == "tr" and frame.table:
-            frame.table.rows.append([])
+            frame.table.row()
             return
         elif tag in BLOCK:
             frame.sheet.block(2 if tag in SPACED and not (tag in ("ul", "ol", "menu") and self.find(("li",), ("table",))) else 1)
@@ -227,7 +331,8 @@ class Page:
             if k and self.open[k].number is not None:
                 marker = f"{self.open[k].number}. "
                 self.open[k].number += 1
-            frame.sheet.marker = frame.indent + marker
+            frame.marker = frame.sheet.marker  # of an item around this one that has no text yet: both stand on one line
+            frame.sheet.marker = (frame.marker or frame.indent) + marker if visible else frame.marker
             frame.sheet.indent = frame.indent + " " * len(marker)
 
     def close_to(self, k: int) -> None:
@@ -235,7 +340,7 @@ class Page:
         while len(self.open) > k:
             frame = self.open.pop()
             self.many[frame.tag] -= 1
-            if not frame.seen:
+            if not frame.shown:
                 continue
             if frame.tag == "table":
                 rendered = frame.table.render()
@@ -244,9 +349,9 @@ class Page:
                     frame.sheet.lines(rendered)
                 frame.sheet.block(2)
             elif frame.tag in ("td", "th") and frame.table:
-                frame.table.cell(frame.sheet.text(), frame.span)
+                frame.table.cell(frame.sheet.text(), *frame.span)
             elif frame.tag == "li":
-                frame.sheet.marker, frame.sheet.indent = "", frame.indent
+                frame.sheet.marker, frame.sheet.indent = frame.marker if frame.sheet.marker else "", frame.indent
                 frame.sheet.block(1)
             elif frame.tag in BLOCK and not (frame.tag == "tr" and frame.table):
                 frame.sheet.block(2 if frame.tag in SPACED and not (frame.tag in ("ul", "ol", "menu") and self.find(("li",), ("table",))) else 1)
@@ -265,30 +370,61 @@ class Page:
             self.close_to(k)
 
 
-def render(source: str | None) -> str:
-    """The visible text of a page."""
-    if not source:
-        return ""
-    page, at, n = Page(), 0, len(source)
+def number(value: str | None, most: int, zero: int = 1) -> int:
+    """A span: 1 if it is none, ``zero`` for 0."""
+    if value is None or not (value.strip().isascii() and value.strip().isdigit()):
+        return 1
+    return min(int(value.strip()[:9]), most) or zero
+
+
+def tokens(source: str) -> Iterator[tuple[str, str, str]]:
+    """(text | start | end | raw, tag, text or attributes) in order; raw: what a script or the like holds."""
+    at, n = 0, len(source)
     while at < n:
         found = _TAG.search(source, at)
         if found is None:
-            page.text(source[at:])
-            break
+            yield "text", "", source[at:]
+            return
         if found.start() > at:
-            page.text(source[at : found.start()])
+            yield "text", "", source[at : found.start()]
         at = found.end()
         if tag := found["start"] or found["odd"]:
             tag = tag.lower()
-            page.start(tag, found["attrs"] if found["start"] else found["rest"])
+            yield "start", tag, found["attrs"] if found["start"] else found["rest"]
             if tag in RAW:
                 stop = re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I).search(source, at)
                 end = stop.start() if stop else n
-                if page.open[-1].seen:
-                    page.text(source[at:end])
+                yield "raw", tag, source[at:end]
                 at = end
         elif found["end"]:
-            page.end(found["end"].lower())
+            yield "end", found["end"].lower(), ""
+
+
+def rules_of(source: str) -> Rules:
+    rules = Rules()
+    if re.search(r"<style\b", source, re.I):
+        screen = True
+        for kind, tag, text in tokens(source):
+            if tag == "style" and kind == "start":
+                media = [a or b or c for name, a, b, c in _ATTR.findall(text) if name.lower() == "media"]
+                screen = not media or not media[0].strip() or bool(re.search(r"\b(?:screen|all)\b", media[0], re.I))
+            elif tag == "style" and kind == "raw" and screen:
+                rules.read(text)
+    return rules
+
+
+def render(source: str | None) -> str:
+    """The visible text of a page."""
+    if not source:
+        return ""
+    page = Page(rules_of(source))
+    for kind, tag, text in tokens(source):
+        if kind == "start":
+            page.start(tag, text)
+        elif kind == "end":
+            page.end(tag)
+        else:
+            page.text(text)
     page.close_to(1)
     return page.sheet.text()
 
@@ -298,9 +434,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first in range(0, batch.num_rows, 500):
-                part = batch.slice(first, 500)
-                texts = [render(h) for h in part.column(1).to_pylist()]
+            for _, part, sources in text_parts(batch):
+                texts = list(map(render, sources))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), pa.array([t.count("\n") + 1 if t else 0 for t in texts], pa.int64())],
                     ["page_id", "text", "n_chars", "n_lines"],

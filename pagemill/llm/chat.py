@@ -7,15 +7,16 @@ blank).  Role changes and features are counted over all turns that carry a known
 to be trusted is a parameter.  A turn's first line always begins a turn; a marker within a text begins one
 there if the whole conversation reads better that way.
 
-Conversations are dealt by ranges of (conversation, turn), so one of any length spreads over many tasks.
-A first pass sums up each part's share of the conversations that cross its borders as a max-plus matrix;
+Conversations are dealt by ranges of (conversation, turn), so one of any length spreads over many tasks; parts
+hold ``PART_BYTES`` of text at most, about.  A first pass counts role changes and features; what lies across the
+borders of parts and tasks is counted from the rows there, so the model doesn't depend on how rows are dealt.
+A second pass sums up each part's share of the conversations that cross its borders as a max-plus matrix;
 chaining those (one small matrix a part) gives each part the best score up to its first line and from its
-last one on; the second pass decodes every part by itself.  That is exact Viterbi, not an approximation.
+last one on; the third decodes every part by itself.  That is exact Viterbi, not an approximation.
 
 Defined results: null roles give no marker, unknown ones a marker of no known speaker; null or empty texts
-are one empty line; null conversation ids are one conversation; rows that repeat conversation, turn, role and
-text count once; equal turn numbers stand in the order of a hash of their text; an empty table gives an
-empty result; other columns are ignored.
+are one empty line; null conversation ids are one conversation; repeated rows are turns of their own; equal turn
+numbers stand in the order of a hash of their text; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize
@@ -42,19 +43,27 @@ SPEAKERS = {
 }
 NAMED = {name: role for role, names in SPEAKERS.items() for name in names}
 #: At a turn's first line: its own marker, none, another role's; a marker is all but certain.  Within a text: a line that begins a turn,
-#: and a marker on a line that doesn't.
+#: and a marker on a line that doesn't (SURE: one of a chat template's own, which prose doesn't hold).
 OWN, BARE, OTHER = 0.97, 0.02999, 0.00001
-BREAK, STRAY = 0.02, 0.002
+BREAK, STRAY, SURE = 0.02, 0.002, 0.000001
 LONG = 200
 NONE, ODD = "none", "odd"
 N = len(ROLES)
-_INLINE = re.compile(r"^\s*(?:#{1,6}\s*|<\|(?:im_start\|>)?\s*|\[)?(" + "|".join(sorted(NAMED, key=len, reverse=True)) + r")\s*(?:\|>|\])?\s*:\s*", re.I)
+_NAMES = "|".join(sorted(NAMED, key=len, reverse=True))
+_WHOLE = "|".join(sorted((n for n in NAMED if len(n) > 1), key=len, reverse=True))
+#: <|im_start|>name, <|name|> and [name] stand by themselves; # name needs a colon or the line's end, a bare name a colon.
+_INLINE = re.compile(
+    rf"^\s*(?:<\|im_start\|>\s*({_WHOLE})\b\s*:?\s*|<\|\s*({_WHOLE})\s*\|>\s*:?\s*|\[\s*({_WHOLE})\s*\]\s*:?\s*|#{{1,6}}\s*({_WHOLE})\s*(?::\s*|$)|(?:#{{1,6}}\s*|\[)?({_NAMES})\s*\]?\s*:\s*)",
+    re.I,
+)
+START, END = "<|im_start|>", "<|im_end|>"
+PART_BYTES = 64_000_000
 
 
 def marker_of(line: str) -> tuple[str, int]:
     """The role that a line's marker names, and where the text after it starts."""
     found = _INLINE.match(line)
-    return (NAMED[found[1].lower()], found.end()) if found else (NONE, 0)
+    return (NAMED[found[found.lastindex].lower()], found.end()) if found else (NONE, 0)
 
 
 def lines_of(role: str | None, text: str | None) -> list[tuple[str, int, str]]:
@@ -89,16 +98,17 @@ class Model:
         total = {a: sum(features.get((a, f), 0) for f in range(8)) for a in ROLES}
         # a tenth of each is uniform, so that no line's features outweigh a marker, however lopsided the counts
         self.feature = np.log([[0.9 * math.exp(rate(features.get((a, f), 0), total[a], 8)) + 0.1 / 8 for a in ROLES * 2] for f in range(8)])
-        self.begin, self.on = {}, {}
+        self.begin, self.on, self.sure = {}, {}, {}
         for m in (NONE, ODD, *ROLES):
             self.begin[m] = np.array([math.log(BARE if m in (NONE, ODD) else OWN if m == r else OTHER / (N - 1)) for r in ROLES] + [-np.inf] * N)
-            inside = math.log(1 - BREAK) + math.log(1 - STRAY if m == NONE else STRAY)
+            inside = lambda stray, m=m: math.log(1 - BREAK) + math.log(1 - stray if m == NONE else stray)
             # within a text only a marker begins a turn
             starts = [-np.inf] * N if m == NONE else [math.log(BREAK) + x for x in self.begin[m][:N]]
-            self.on[m] = np.array(starts + [inside] * N)
+            self.on[m], self.sure[m] = (np.array(starts + [inside(stray)] * N) for stray in (STRAY, SURE))
 
     def emit(self, marker: str, line: str, starts: bool) -> np.ndarray:
-        return (self.begin if starts else self.on)[marker] + self.feature[feature(line)]
+        told = self.begin if starts else self.sure if line.lstrip().startswith("<|") else self.on
+        return told[marker] + self.feature[feature(line)]
 
     def into(self, before: np.ndarray, emitted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Best scores one line on, and where each came from."""
@@ -147,7 +157,7 @@ def decode(model: Model, rows: list[tuple], before: np.ndarray | None, after: np
 
 
 def rendered(role: str, text: str) -> str:
-    return f"<|im_start|>{role}\n{text}<|im_end|>\n"
+    return f"{START}{role}\n{text}{END}\n"
 
 
 def pieces(rows: list[tuple], states: list[list[int]]) -> Iterator[tuple]:
@@ -159,8 +169,11 @@ def pieces(rows: list[tuple], states: list[list[int]]) -> Iterator[tuple]:
                 parts.append((ROLES[state], [line[n:] if marker == ROLES[state] else line]))
             else:
                 parts[-1][1].append(line)
+        opened = [START in line for (_, _, line), state in zip(lines_of(role, text), own, strict=True) if state < N]
         for k, (who, lines) in enumerate(parts):
             body = "\n".join(lines)
+            if opened[k]:  # rendered before: what the markers add goes
+                body = re.sub(rf"{re.escape(END)}\s*\Z", "", body.removeprefix("\n"))
             yield conv, turn, k, who, body, rendered(who, body)
 
 
@@ -185,35 +198,64 @@ def ordered(conversations: DataFrame, conv_col: str, turn_col: str, role_col: st
             yield pa.RecordBatch.from_arrays([pa.array(np.full(n, part, np.int64)), pa.array(np.arange(pos, pos + n)), *batch.columns], ["part", "pos", *batch.schema.names])
             pos += n
 
+    spark = conversations.sparkSession
     rows = conversations.select(*[F.col(f"`{c}`").cast(kind).alias(name) for c, kind, name in ((conv_col, "long", "conv_id"), (turn_col, "long", "turn"), (role_col, "string", "role"), (text_col, "string", "text"))])
-    keys = ["conv_id", "turn", F.xxhash64("text"), F.xxhash64("role")]
-    dealt = rows.distinct().repartitionByRange(*keys).sortWithinPartitions(*keys)
-    return materialize(dealt.mapInArrow(number, "part long, pos long, conv_id long, turn long, role string, text string"), "turns")
+    size = rows.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64)).first()[0] or 0
+    n = max(min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // 1_000_000)), -(-size // PART_BYTES), 1)
+    # the last key parts rows that are the same in every column
+    keys = ["conv_id", "turn", "h", "r", "m"]
+    dealt = rows.withColumns({"h": F.xxhash64("text"), "r": F.xxhash64("role"), "m": F.monotonically_increasing_id()}).repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    return materialize(dealt.select("conv_id", "turn", "role", "text").mapInArrow(number, "part long, pos long, conv_id long, turn long, role string, text string"), "turns")
+
+
+UNKNOWN = "?"
+
+
+def known(role: str | None) -> str:
+    return NAMED.get((role or "").strip().lower(), UNKNOWN)
 
 
 def learn(turns: DataFrame) -> Model:
-    """Role changes and line features over all turns of known role; a conversation's parts are joined by their border rows."""
+    """Role changes and line features over all turns of known role."""
+    kinds = pa.schema([("kind", pa.string()), ("a", pa.string()), ("b", pa.string()), ("f", pa.int32()), ("n", pa.int64()), ("part", pa.int64()), ("pos", pa.int64()), ("conv_id", pa.int64())])
 
-    def count(table: pa.Table) -> pa.Table:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter = Counter()
-        for rows in _conversations(table):
-            last = ""
-            for _, _, role, text in rows:
-                known = NAMED.get((role or "").strip().lower())
-                if known is None:
-                    last = None
-                    continue
-                if last is not None:
-                    found["turn", last, known, 0] += 1
-                last = known
-                for line in (text or "").split("\n"):
-                    found["line", known, "", feature(line)] += 1
-        keys = list(found)
-        return pa.table({"kind": [k[0] for k in keys], "a": [k[1] for k in keys], "b": [k[2] for k in keys], "f": pa.array([k[3] for k in keys], pa.int32()), "n": pa.array([found[k] for k in keys], pa.int64())}, schema=pa.schema([("kind", pa.string()), ("a", pa.string()), ("b", pa.string()), ("f", pa.int32()), ("n", pa.int64())]))
-
-    # at most some forty kinds of rows
-    counts = turns.groupBy("part").applyInArrow(count, "kind string, a string, b string, f int, n long").groupBy("kind", "a", "b", "f").agg(F.sum("n").alias("n")).collect()
-    return Model({(r.a, r.b): r.n for r in counts if r.kind == "turn"}, {(r.a, r.f): r.n for r in counts if r.kind == "line"})
+        ends: list[tuple] = []  # (first | last, role, part, pos, conversation) of each run of rows that follow one another
+        last = None
+        for batch in batches:
+            for part, pos, conv, _, role, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                who = known(role)
+                if last is None or last[2] != part or last[3] + 1 != pos:
+                    ends += [] if last is None else [("last", *last[1:])]
+                    ends.append(("first", who, part, pos, conv))
+                else:
+                    found["turn", last[1] if last[4] == conv else "", who, 0] += 1
+                last = ("last", who, part, pos, conv)
+                if who != UNKNOWN:
+                    for line in (text or "").split("\n"):
+                        found["line", who, "", feature(line)] += 1
+        ends += [] if last is None else [last]
+        rows = [(*k, n, None, None, None) for k, n in found.items()] + [(kind, who, None, None, None, part, pos, conv) for kind, who, part, pos, conv in ends]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), kinds, strict=True)], schema=kinds)
+
+    counted = materialize(turns.mapInArrow(count, "kind string, a string, b string, f int, n long, part long, pos long, conv_id long"), "turn-counts")
+    # two rows a part and task; a run's last row comes right before the next one's first; a run of one row has both, first and last
+    order = Window.orderBy("part", "pos", "kind")
+    before = lambda c: F.lag(c).over(order)
+    ends = counted.where("kind IN ('first', 'last')")
+    joined = ends.select("kind", F.col("a").alias("b"), F.when((before("kind") == "last") & before("conv_id").eqNullSafe(F.col("conv_id")), before("a")).otherwise("").alias("a")).where("kind = 'first'")
+    across = joined.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).select(F.lit("turn").alias("kind"), "a", "b", F.lit(0).alias("f"), "n")
+    within = counted.where("kind IN ('turn', 'line')").groupBy("kind", "a", "b", "f").agg(F.sum("n").alias("n"))
+    # at most some sixty rows
+    turn, line = Counter(), Counter()
+    for r in within.unionByName(across).collect():
+        if r.kind == "line":
+            line[r.a, r.f] += r.n
+        elif UNKNOWN not in (r.a, r.b):
+            turn[r.a, r.b] += r.n
+    return Model(turn, line)
 
 
 def borders(turns: DataFrame, model: Model) -> dict[int, tuple]:

@@ -67,6 +67,24 @@ def release(spark: SparkSession, first: int = 0, last: int | None = None) -> Non
     del _written[first:last]
 
 
+#: A class is hot if it has more than one row in so many.
+HOT = 1000
+
+
+def join_classes(rows: DataFrame, classes: DataFrame, key: str, size: str, salts: int = 64, how: str = "inner") -> DataFrame:
+    """``rows`` with their class, by ``key``, which ``classes`` has once; ``size`` is how many rows a class has.
+
+    There can't be more than ``HOT`` hot classes.  Each of them is repeated for every salt, so that its rows spread over as many tasks.
+    """
+    total = classes.agg(F.sum(size)).first()[0] or 0
+    hot = classes.where(F.col(size) * HOT > total).select(F.col(key).alias("hot"))
+    marked = rows.join(F.broadcast(hot), rows[key] == hot["hot"], "left")
+    salt = F.pmod(F.xxhash64(*rows.columns, F.monotonically_increasing_id()), F.lit(salts)).cast("int")
+    marked = marked.withColumn("salt", F.when(F.col("hot").isNotNull(), salt).otherwise(F.lit(0))).drop("hot")
+    each = F.when(F.col(size) * HOT > total, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    return marked.join(classes.withColumn("salt", F.explode(each)), [key, "salt"], how).drop("salt")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -10,8 +10,8 @@ equality is always decided by content:
 
 The winners then go back to the documents by digest.  That join carries no text, as stage 3 has shown
 for every digest whether it stands for one text.  Where one stands for more (never seen with SHA-256,
-easily made with a weaker ``digest``), the whole text joins as well.  Digests of more than one row in
-``HOT`` (there can't be more than ``HOT`` of those) are salted in that join, too.
+easily made with a weaker ``digest``), the whole text joins as well.  Digests of many rows are
+salted in that join, too.
 
 Defined results: a null text counts as empty; empty texts form one group; doc_ids are any long, negative
 ones included; a null doc_id ranks after all others and may only represent a group of null doc_ids; rows
@@ -26,13 +26,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import join_classes, materialize
 
 #: [\x20\x09-\x0D]
 WHITE = " \t\n\x0b\x0c\r"
 SALTS = 64
-#: A digest is hot if it has more than one row in so many.
-HOT = 1000
 _LAST_ID = (1 << 63) - 1
 #: One more than the largest part of a rank that stands for a doc_id.
 _UNIT = 1 << 65
@@ -96,23 +94,12 @@ def exact_dedup(
     clash = found.where("n_contents > 1").select("digest", "content", "keep_id", "group_size")
     content = normalised(F.col(f"`{text_col}`"))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), digest(content).alias("digest"), F.sha2(F.encode(content, "UTF-8"), 256).alias("text_sha256"), content.alias("content"))
-    out = _by_digest(rows.drop("content"), by_digest, salts)
+    out = join_classes(rows.drop("content"), by_digest, "digest", "group_size", salts)
     if not clash.isEmpty():
         out = out.unionByName(rows.join(clash, ["digest", "content"]).drop("content"))
     return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
-def _by_digest(rows: DataFrame, found: DataFrame, salts: int) -> DataFrame:
-    """Rows with the class of their digest; hot classes are repeated for each salt, so that their rows spread over as many tasks."""
-    total = found.agg(F.sum("group_size")).first()[0] or 0
-    hot = found.where(F.col("group_size") * HOT > total).select(F.col("digest").alias("hot"))
-    # HOT digests at most
-    marked = rows.join(F.broadcast(hot), rows["digest"] == hot["hot"], "left")
-    marked = marked.withColumn("salt", F.when(F.col("hot").isNotNull(), F.pmod(F.xxhash64("doc_id", F.spark_partition_id()), F.lit(salts))).otherwise(F.lit(0)).cast("int")).drop("hot")
-    each = F.when(F.col("group_size") * HOT > total, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    return marked.join(found.withColumn("salt", F.explode(each)), ["digest", "salt"]).drop("salt")
-
-
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
     """The documents that stay, with their own columns.
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, materialize
+from .common import bounded_batches, join_classes, materialize
 from .components import components
 from .shingles import Shingler, mix
 from .tokens import text_parts
@@ -146,13 +146,13 @@ def near_duplicates(
     bounded_batches(docs.sparkSession)
     matches = least_matches(percent / 100, coordinates)
     signed = materialize(signatures(docs, width, coordinates, id_col, text_col), "signatures")
-    classes = signed.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    posted = signed.join(classes.withColumnRenamed("digest", "c_digest"), (F.col("digest") == F.col("c_digest")) & (F.col("doc_id") == F.col("rep")))
+    classes = materialize(signed.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "near-classes")
+    posted = signed.join(classes.select(F.col("digest").alias("c_digest"), "rep"), (F.col("digest") == F.col("c_digest")) & (F.col("doc_id") == F.col("rep")))
     prefix = prefix_postings(posted.select("rep", "n_shingles", "keys"), matches)
     text = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     labels = link_components(prefix, _Links(text, width, percent, matches), shared_ids(signed, classes))
-    by_digest = classes.join(labels, classes["rep"] == labels["node"], "left").select(F.col("digest").alias("c_digest"), F.coalesce("component", "rep").alias("class_component"))
-    out = signed.drop("keys").join(by_digest, signed["digest"] == by_digest["c_digest"], "left")
+    by_digest = classes.join(labels, classes["rep"] == labels["node"], "left").select("digest", "n", F.coalesce("component", "rep").alias("class_component"))
+    out = join_classes(signed.drop("keys"), materialize(by_digest, "near-classes"), "digest", "n", how="left")
     component = F.coalesce("class_component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
@@ -161,7 +161,7 @@ def shared_ids(signed: DataFrame, classes: DataFrame) -> DataFrame:
     """Edges (a, b) between the classes of each doc_id that has several."""
     own = signed.where("digest is not null").select("doc_id", "digest")
     several = own.groupBy("doc_id").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low <> high").select("doc_id")
-    reps = own.join(several, "doc_id", "left_semi").distinct().join(classes, "digest").select("doc_id", "rep")
+    reps = own.join(several, "doc_id", "left_semi").distinct().join(classes.select("digest", "rep"), "digest").select("doc_id", "rep")
     least = reps.groupBy("doc_id").agg(F.min("rep").alias("a"))
     return materialize(reps.join(least, "doc_id").where("a <> rep").select("a", F.col("rep").alias("b")).distinct(), "near-shared")
 

@@ -2,12 +2,13 @@
 
 import hashlib
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
-from pagemill.llm import exact_dedup, licenses, sharding
+from pagemill.llm import common, exact_dedup, licenses, sharding
 
 PAIRS = [(1, "a b"), (2, "ab"), (3, "a\tb\n"), (4, None), (5, ""), (6, " \x0b\x0c\r"), (7, "a b"), (8, "ab"), (8, "ab"), (None, "ab"), (None, "alone"), (9, "x" * 200_000), (10, "x" * 200_000 + " ")]
 
@@ -39,7 +40,7 @@ def test_exact_dedup_of_negative_and_extreme_ids(docs_of):
 
 def test_exact_dedup_of_a_hot_group_and_many_ids(docs_of, monkeypatch):
     pairs = [(k - 500 if k % 7 else None, "the same" if k % 3 == 0 else f"text {k // 2}") for k in range(3000)]
-    monkeypatch.setattr(exact_dedup, "HOT", 10)
+    monkeypatch.setattr(common, "HOT", 10)
     rows = exact_dedup.exact_dedup(docs_of(pairs)).collect()
     assert Counter(map(tuple, rows)) == expected_dedup(pairs)
 
@@ -130,11 +131,14 @@ def plain_scan(text):
         starts += hits
         labels |= {label} if hits else set()
     best, own = 0.0, set()
-    for line in (text or "").split("\n"):
-        held = set(licenses.words_of(line))
-        for label, t in licenses.TEMPLATES.items():
-            whole = set(licenses.words_of(t))
-            if (share := len(held & whole) / len(whole)) >= licenses.THRESHOLD - 1e-12:
+    for label, t in licenses.TEMPLATES.items():
+        own_words = licenses.words_of(t)
+        wide = 8
+        while wide < len(own_words):
+            wide *= 2
+        for at in range(0, len(words), wide):
+            share = len(set(words[at : at + 2 * wide]) & set(own_words)) / len(set(own_words))
+            if share >= licenses.THRESHOLD - 1e-12:
                 own.add(label)
                 best = max(best, share)
     return (len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(labels)), ",".join(sorted(labels | own)), max(best, 1.0 if starts else 0.0))
@@ -146,8 +150,13 @@ def test_license_scan_matches_plain_python(docs_of):
         "Licensed under CC BY-NC 4.0.\nother", "GNU General,Public License v3", "apache license\n" * 3, "license mit " * 50_000,
         "redistribution and use in source or binary forms, with or without modification, are permitted if the following conditions are met",
         "Permission is hereby granted, free of charge, to anyone obtaining a copy of this software and documentation files, to deal in the Software without restriction",
-        "released under license", "\x80mit license \x7fmit license",
+        "released under license", "\x80mit license \x7fmit license", "the of and in this is to free software " * 40,
+        *("words before " * k + textwrap.fill(licenses.TEMPLATES[label], 40, initial_indent=mark, subsequent_indent=mark) + "\nwords after" * k for k in (0, 9, 60) for label in ("mit-text", "bsd-text", "gpl-notice") for mark in ("", " * ", "# ")),
     ]
-    pairs = list(enumerate(texts)) + [(2, "MIT License"), (None, "CC BY")]
+    assert all(plain_scan(t)[5] for t in texts[-27:])  # wrapped and commented notices are found
+    pairs = list(enumerate(texts)) + [(2, "MIT License"), (None, "CC BY"), (None, None), (None, "Released under the MIT")]
     rows = licenses.license_scan(docs_of(pairs)).collect()
     assert Counter(map(tuple, rows)) == Counter((i, *plain_scan(t)) for i, t in pairs)
+    alone = licenses.license_scan(docs_of(pairs), templates={}).collect()
+    assert {(r.doc_id, r.labels) for r in alone} == {(i, plain_scan(t)[4]) for i, t in pairs}
+    assert {r.base_labels for r in licenses.license_scan(docs_of(pairs), phrases={}).collect()} == {""}

@@ -41,6 +41,7 @@ def one_break(text: Column) -> Column:
 
 def safe_name(name: Column) -> Column:
     """A file name: runs of forbidden characters become one underscore."""
+    # fixed value: the forbidden characters
     bare = F.regexp_replace(F.regexp_replace(name, r'[<>:"/\\|?*\x00-\x1f]+', "_"), r"\A[ ._]+|[ ._]+\z", "")
     return F.when(bare == "", F.lit("document")).otherwise(bare)
 
@@ -97,7 +98,7 @@ def fewer_breaks(text: Column) -> Column:
 
 def compact_text(text: Column, most: int) -> Column:
     """Head and tail of a long text around a marker."""
-    marker = F.lit("\n\n[...middle omitted...]\n\n")
+    marker = F.lit("\n\n[...middle omitted...]\n\n")  # fixed value
     return let(fewer_breaks(text), lambda x: F.when(F.length(x) <= most, x).otherwise(F.concat(F.left(x, F.lit(most // 2)), marker, F.right(x, F.lit(most - most // 2)))))
 
 
@@ -164,7 +165,7 @@ def relevel_heading(line: Column, action: Column) -> Column:
     return F.when(line.rlike(pattern), F.concat(F.repeat(F.lit("#"), wanted), F.lit(" "), strip(F.regexp_extract(line, pattern, 2)))).otherwise(rstrip(line))
 
 
-#: A number that is no part of a word or of a longer list of digits.
+#: Fixed value: a number that is no part of a word or of a longer list of digits.
 NUMBER = r"(?U)((?<![A-Za-z0-9,])\d[\d,]*(?:\.\d+)?%?(?![A-Za-z0-9,]))"
 
 
@@ -202,6 +203,18 @@ def secret_findings(text: Column) -> Column:
     return F.array_compact(F.array(*rules, F.when(text.rlike(USER_PATH), F.lit("absolute user path"))))
 
 
+#: Names and suffixes of files that a package for publication must not hold.
+FORBIDDEN_NAMES = ["__pycache__", ".venv", "venv", "engine_output", ".engine_work"]
+FORBIDDEN_SUFFIXES = [".doc", ".docx", ".jpeg", ".jpg", ".jsonl", ".pdf", ".pem", ".png", ".ppt", ".pptx", ".xls", ".xlsx"]
+
+
+def is_forbidden_path(path: Column) -> Column:
+    """Whether a file or folder must not be published, by its name; version control's own files don't count."""
+    parts = F.split(path, "/")
+    suffix = F.lower(F.regexp_extract(F.element_at(parts, -1), r"[^.](\.[^.]+)\z", 1))
+    return ~F.array_contains(parts, ".git") & (F.element_at(parts, -1).isin(FORBIDDEN_NAMES) | suffix.isin(FORBIDDEN_SUFFIXES))
+
+
 def recommended_section(text: Column) -> Column:
     """The section after the line that announces it, up to the uncertainty section; the whole text if none does."""
     def section(lines: Column) -> Column:
@@ -269,6 +282,29 @@ def parse_pages(spec: Column) -> Column:
     return F.when(F.size(parts) == 0, F.raise_error(F.lit("no pages specified")).cast("array<int>")).otherwise(F.array_sort(F.array_distinct(F.flatten(ranges))))
 
 
+def _places(ratio: Column, places: int) -> Column:
+    """A number from 0 to 1 in units of its last place, halves by the exact binary value and to the even unit."""
+    unit, whole = 10**places, 1 << 53
+    scaled = ratio * float(whole)  # a power of two: exact
+    bits = F.floor(scaled).cast("long") * unit
+    rest = bits % whole
+    down = ((bits - rest) / F.lit(float(whole))).cast("long")
+    # how far above the half: the dropped bits of the scaled number count, too
+    over = (rest - whole // 2).cast("double") + (scaled - F.floor(scaled)) * unit
+    return down + ((over > 0) | ((over == 0) & (down % 2 == 1))).cast("long")
+
+
+def fixed2(ratio: Column) -> Column:
+    """A number from 0 to 1 with two places, as a C ``printf`` has it."""
+    n = _places(ratio, 2)
+    return F.concat((n / 100).cast("int").cast("string"), F.lit("."), F.lpad((n % 100).cast("string"), 2, "0"))
+
+
+def round3(ratio: Column) -> Column:
+    """A number from 0 to 1 to three places."""
+    return _places(ratio, 3) / F.lit(1000.0)
+
+
 def mime_type(path: Column) -> Column:
     suffix = F.lower(F.regexp_extract(path, r"\.([^./]+)$", 1))
     return F.when(suffix.isin("jpg", "jpeg"), "image/jpeg").when(suffix == "svg", "image/svg+xml").when(suffix.isin("tif", "tiff"), "image/tiff").when(suffix == "", "application/octet-stream").otherwise(F.concat(F.lit("image/"), suffix))

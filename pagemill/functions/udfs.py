@@ -1,4 +1,4 @@
-"""What built-in functions can't say: entity decoding, percent decoding, Python's rounding.  Arrow-batched."""
+"""What built-in functions can't say: entity decoding, percent decoding.  Arrow-batched."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from urllib.parse import unquote
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType
+from pyspark.sql.types import StringType
 
 from .text import asset_key, without_tags
 
@@ -23,18 +23,6 @@ def _unquote(text: pd.Series) -> pd.Series:
     return text.map(unquote, na_action="ignore")
 
 
-@F.pandas_udf(DoubleType())
-def round3(value: pd.Series) -> pd.Series:
-    """Three places, halves by the exact binary value."""
-    return value.map(lambda v: round(v, 3), na_action="ignore")
-
-
-@F.pandas_udf(StringType())
-def fixed2(value: pd.Series) -> pd.Series:
-    """Two places, as Python prints them."""
-    return value.map(lambda v: f"{v:.2f}", na_action="ignore")
-
-
 def plain_text(text: Column) -> Column:
     """Visible text of an HTML fragment: entities first, then tags, then white space."""
     return without_tags(_unescape(text))

@@ -57,11 +57,6 @@ def artifacts(mode: str) -> list[str]:
     return ["content.md", "audit.md"] if mode == "single-md" else ["content.md", "chunks.jsonl", "structure.json", "assets", "audit.md"]
 
 
-def exit_code(arguments_ok: bool = True, engine: bool = True, markdown: bool = True, strict: bool = False, warnings: int = 0) -> int:
-    """0, or the first of: 2 bad arguments, 3 no engine, 4 no Markdown, 5 warnings where none are allowed."""
-    return 2 if not arguments_ok else 3 if not engine else 4 if not markdown else 5 if strict and warnings else 0
-
-
 def warning_summary(warnings: DataFrame, shown: int = 8) -> DataFrame:
     """doc_id, n, lines: the first warnings of each document, and how many more there are."""
     listed = F.transform(F.array_sort(F.collect_list(F.struct("ord", "message"))), lambda w: F.concat(F.lit("  - "), w["message"]))

@@ -1,7 +1,8 @@
 """Extraction risk of each page, and what is to be done about it.
 
 ``features`` is one aggregation over blocks and one join with the pages' own text; ``scored`` and ``routed``
-are projections.  All keys are (doc_id, page), so a long document spreads over tasks page by page.
+are projections.  All keys are (doc_id, page), so a long document spreads over tasks page by page.  Texts are
+measured where they are read: what a page needs of them adds up, so only numbers are shuffled.
 """
 
 from __future__ import annotations
@@ -9,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import numeric_count, visible_length, without_tags
-from ..functions.udfs import fixed2
+from ..functions.text import fixed2, numeric_count, round3, visible_length, without_tags
 
 FURNITURE = ["header", "footer", "page_number"]
 VISUAL = ["chart", "image"]
@@ -32,7 +32,7 @@ def block_measures(blocks: DataFrame, as_listed: bool = True) -> DataFrame:
     pieces = F.filter(F.array(text, without_tags(F.col("table_body")), *captions), lambda x: x != "")
     box = F.col("bbox")
     area = F.greatest(F.lit(0.0), box[2] - box[0]) * F.greatest(F.lit(0.0), box[3] - box[1]) / 1_000_000
-    return blocks.select(
+    rows = blocks.select(
         "doc_id", (F.coalesce("page_idx", F.lit(0)) + 1).alias("page"), "block_pos", kind.alias("type"), meaningful.alias("meaningful"), visual.alias("visual"),
         F.when(meaningful, F.array_join(pieces, " ")).otherwise(F.lit("")).alias("evidence"),
         F.when(kind == "text", text).otherwise(F.lit("")).alias("own_text"),
@@ -40,6 +40,11 @@ def block_measures(blocks: DataFrame, as_listed: bool = True) -> DataFrame:
         (visual & ((captions[1] != "") | (captions[2] != ""))).alias("captioned"),
         (meaningful & (kind == "text") & F.length(text).between(1, 30)).alias("short"),
     )
+    # pieces are joined by a space, which is no visible character and part of no number
+    return rows.withColumns({
+        "evidence_chars": visible_length(F.col("evidence")).cast("long"), "numeric_tokens": numeric_count(F.col("evidence")).cast("long"),
+        "own_chars": F.length("own_text").cast("long"),
+    })
 
 
 def _ordered_join(value: str) -> Column:
@@ -48,27 +53,35 @@ def _ordered_join(value: str) -> Column:
     return F.array_join(F.transform(listed, lambda s: s["v"]), " ")
 
 
-def page_evidence(blocks: DataFrame, as_listed: bool = True) -> DataFrame:
-    """doc_id, page, counts and texts of each page that has blocks."""
+def _counts() -> list[Column]:
     n = lambda c: F.count_if(c).cast("long")
-    return block_measures(blocks, as_listed).groupBy("doc_id", "page").agg(
+    return [
         n(F.col("type") == "chart").alias("charts"), n(F.col("type") == "image").alias("images"), n(F.col("type") == "table").alias("tables"),
         n(F.col("meaningful")).alias("meaningful"), n(F.col("captioned")).alias("captioned"), n(F.col("short")).alias("short_text"),
-        F.least(F.lit(1.0), F.sum("area")).alias("area"), _ordered_join("evidence").alias("evidence"), _ordered_join("own_text").alias("own_text"),
-    )
+        F.least(F.lit(1.0), F.sum("area")).alias("area"),
+    ]
+
+
+def page_evidence(blocks: DataFrame, as_listed: bool = True) -> DataFrame:
+    """doc_id, page, counts and texts of each page that has blocks."""
+    return block_measures(blocks, as_listed).groupBy("doc_id", "page").agg(*_counts(), _ordered_join("evidence").alias("evidence"), _ordered_join("own_text").alias("own_text"))
+
+
+def page_measures(blocks: DataFrame, as_listed: bool = True) -> DataFrame:
+    """doc_id, page, counts and the measures of the texts, which are added up before anything is shuffled."""
+    own = F.sum("own_chars") + F.greatest(F.lit(0), F.count_if(F.col("own_chars") > 0) - 1)
+    return block_measures(blocks, as_listed).groupBy("doc_id", "page").agg(*_counts(), F.sum("evidence_chars").alias("evidence_chars"), F.sum("numeric_tokens").alias("numeric_tokens"), own.alias("text_chars"))
 
 
 def features(blocks: DataFrame, page_text: DataFrame, as_listed: bool = True) -> DataFrame:
     """One row a page of the page text, with or without blocks."""
-    pages = page_text.join(page_evidence(blocks, as_listed), ["doc_id", "page"], "left")
+    own = page_text.select("doc_id", "page", visible_length(F.col("pdf_text")).cast("long").alias("pdf_chars"))
+    pages = own.join(page_measures(blocks, as_listed), ["doc_id", "page"], "left")
     zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("charts", "images", "tables", "meaningful", "captioned", "short_text")]
-    evidence, own = (F.coalesce(c, F.lit("")) for c in ("evidence", "own_text"))
-    chars = visible_length(evidence)
-    pdf = visible_length(F.col("pdf_text"))
+    chars = F.coalesce("evidence_chars", F.lit(0))
     return pages.select(
-        "doc_id", "page", *zero, F.coalesce("area", F.lit(0.0)).alias("area"),
-        chars.cast("long").alias("evidence_chars"), F.length(own).cast("long").alias("text_chars"), pdf.cast("long").alias("pdf_chars"),
-        F.least(F.lit(1.0), chars / F.greatest(F.lit(1), pdf)).alias("coverage"), numeric_count(evidence).cast("long").alias("numeric_tokens"),
+        "doc_id", "page", *zero, F.coalesce("area", F.lit(0.0)).alias("area"), chars.alias("evidence_chars"), F.coalesce("text_chars", F.lit(0)).alias("text_chars"), "pdf_chars",
+        F.least(F.lit(1.0), chars / F.greatest(F.lit(1), F.col("pdf_chars"))).alias("coverage"), F.coalesce("numeric_tokens", F.lit(0)).alias("numeric_tokens"),
     )
 
 
@@ -105,7 +118,7 @@ def routed(pages: DataFrame, sensitivity: int | Column = 50) -> DataFrame:
     if isinstance(sensitivity, int) and not 0 <= sensitivity <= 100:
         raise ValueError("sensitivity must lie between 0 and 100")
     threshold, c = 100 - (F.lit(sensitivity) if isinstance(sensitivity, int) else sensitivity), F.col
-    coverage, area = F.bround("coverage", 3), F.bround("area", 3)
+    coverage, area = round3(c("coverage")), round3(c("area"))
     pictures = (c("images") > 0) & (c("tables") == 0)
     hard = (pictures & (c("text_chars") == 0)) | (pictures & (coverage < 0.20))
     decorative = (threshold > 0) & (c("charts") == 0) & (c("images") > 0) & (area < 0.10) & (c("captioned") == 0) & (coverage >= 0.20)

@@ -43,16 +43,20 @@ def task_queue(routes: DataFrame, page_text: DataFrame, models: list[str], most:
     return asked.crossJoin(F.broadcast(named)).select("doc_id", "model", "page", "action", compact_text(F.coalesce("pdf_text", F.lit("")), most).alias("context"))
 
 
+#: What a model is asked for: everything, what a picture adds, a page anew; and what to do about boilerplate.
+FULL = "Describe this page: summary, text, tables, visuals, then the section '推荐 Markdown' and what is uncertain."
+ADD = "Add what the picture of this page shows and its text does not. One section '### 视觉与版面语义', Markdown only, no images, no fences."
+ANEW = "Write this page anew as Markdown, from its picture and its text. No images, no fences."
+OMIT = "Leave out headers, footers, watermarks, logos, confidentiality labels and page numbers that carry no content."
+KEEP = "Keep text that tells where the content comes from; headers, footers and watermarks come last."
+
+
 def page_prompt(context: Column, action: Column, page: Column, markdown_only: bool = True, omit_boilerplate: bool = True) -> Column:
     """What a model is asked about a page: three forms, each with or without the rule on boilerplate."""
-    rule = "Leave out headers, footers, watermarks, logos, confidentiality labels and page numbers that carry no content." if omit_boilerplate else "Keep text that tells where the content comes from; headers, footers and watermarks come last."
+    rule = OMIT if omit_boilerplate else KEEP
     tail = F.concat(F.lit(f"\n{rule}\n\nPage "), page.cast("string"), F.lit(", text as parsed:\n\n"), context)
-    full = F.lit("Describe this page: summary, text, tables, visuals, then the section '推荐 Markdown' and what is uncertain.")
-    if not markdown_only:
-        return F.concat(full, tail)
-    add = F.lit("Add what the picture of this page shows and its text does not. One section '### 视觉与版面语义', Markdown only, no images, no fences.")
-    whole = F.lit("Write this page anew as Markdown, from its picture and its text. No images, no fences.")
-    return F.concat(F.when(action == "augment", add).otherwise(whole), tail)
+    asked = F.when(action == "augment", F.lit(ADD)).otherwise(F.lit(ANEW)) if markdown_only else F.lit(FULL)
+    return F.concat(asked, tail)
 
 
 class Provider(Protocol):

@@ -10,11 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import read_table
+
 PAGE_LINES = 4
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +55,7 @@ def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(~visual & (F.col("type") != "table"), own).alias("text"), F.when((F.col("type") == "text") & (p == 0), F.pmod("doc_id", F.lit(9)).cast("int")).alias("text_level"),
         F.when(visual, F.array(F.lit(0.0), F.lit(0.0), width.cast("double"), F.lit(500.0))).alias("bbox"),
         F.when(F.col("type") == "table", own).alias("table_body"), F.when(visual, F.concat(F.lit("images/"), F.col("doc_id").cast("string"), F.lit("-"), F.col("pos").cast("string"), F.lit(".png"))).alias("img_path"),
-        F.when(F.col("type") == "chart", F.left("line", F.lit(40))).alias("content"),
+        F.when(F.col("type") == "chart", own).alias("content"),
         listed(F.col("type") == "table").alias("table_caption"), listed(F.col("type") == "image").alias("image_caption"), listed(F.col("type") == "chart").alias("chart_caption"), none.alias("image_footnote"), none.alias("chart_footnote"),
     )
 
@@ -71,7 +73,7 @@ blocks AS (SELECT doc_id, pos AS block_pos, pos // {PAGE_LINES} AS page_idx, typ
   CASE WHEN type IN ('chart', 'image') THEN (CASE c WHEN 2 THEN 180 WHEN 3 THEN 320 WHEN 4 THEN 20 WHEN 5 THEN 240 ELSE 500 END) * 500 / 1000000.0::DOUBLE ELSE 0 END AS area,
   CASE WHEN type = 'table' THEN line END AS table_body,
   CASE WHEN type IN ('chart', 'image') THEN 'images/' || doc_id || '-' || pos || '.png' END AS img_path,
-  CASE WHEN type = 'chart' THEN left(line, 40) END AS content,
+  CASE WHEN type = 'chart' THEN line END AS content,
   CASE WHEN (doc_id + pos) % 3 = 0 AND type IN ('table', 'image', 'chart') THEN 'Fig ' || pos END AS caption FROM typed)"""
 )
 

@@ -11,22 +11,11 @@ from ..functions import text as T
 from ..functions.udfs import plain_text
 from ..operators import audit, blocks, integrate, ledger, package, routing, scoring, segment, semantics, visuals
 from . import adapters as A
+from .registry import ORACLE, QUERIES, query
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 SENSITIVITIES = (0, 30, 50, 70, 100)
 
 
-def query(sql: str | None = None):
-    def register(f):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLE[f.__name__] = sql
-        return f
-
-    return register
-
-
 def joined(column: str, by: str = ","):
     return F.array_join(column, by).alias(column)
 
@@ -219,14 +208,11 @@ def parsed_page_specs(spark, sf_dir):
     return rows.select("o_orderkey", "spec", F.array_join(F.transform(T.parse_pages(F.col("spec")), lambda p: p.cast("string")), " ").alias("pages"))
 
 
-@query("SELECT doc_id, octet_length(encode(text))::BIGINT AS bytes, sha256(text) AS sha256, 'data:image/png;base64,' || to_base64(encode(left(text, 60))) AS url FROM documents")
+@query("SELECT doc_id, octet_length(encode(text))::BIGINT AS bytes, sha256(text) AS sha256 FROM documents")
 def sha256_docs(spark, sf_dir):
-    docs = A.table(spark, sf_dir, "documents")
-    url = T.data_url(F.lit("x.png"), F.encode(F.left("text", F.lit(60)), "UTF-8"))
-    return audit.fingerprints(docs.select("doc_id", url.alias("url"), F.col("text").alias("content"))).select("doc_id", "bytes", "sha256", "url")
+    return audit.fingerprints(A.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("content"))).select("doc_id", "bytes", "sha256")
 
 
-# the URL above holds the first 60 characters, as its SQL says; this one has the whole text
 @query("SELECT doc_id, 'data:image/png;base64,' || to_base64(encode(text)) AS url FROM documents")
 def data_urls(spark, sf_dir):
     return A.table(spark, sf_dir, "documents").select("doc_id", T.data_url(F.lit("x.png"), F.encode("text", "UTF-8")).alias("url"))
@@ -343,10 +329,10 @@ def rows_until_blocked(spark, sf_dir):
 @query(
     routed_sql((70,))
     + rf""", m AS (SELECT unnest(['m-a', 'm-b']) AS model), t AS (SELECT doc_id, model, page, action, {FEWER("pdf_text")} AS t FROM routes JOIN page_text USING (doc_id, page), m WHERE action <> 'keep')
-SELECT doc_id, model, page::INT AS page, action, CASE WHEN length(t) <= 400 THEN t ELSE left(t, 200) || chr(10) || chr(10) || '[...middle omitted...]' || chr(10) || chr(10) || right(t, 200) END AS context, 'pending' AS status FROM t"""
+SELECT doc_id, model, page::INT AS page, action, CASE WHEN length(t) <= 9000 THEN t ELSE left(t, 4500) || chr(10) || chr(10) || '[...middle omitted...]' || chr(10) || chr(10) || right(t, 4500) END AS context, 'pending' AS status FROM t"""
 )
 def task_queue(spark, sf_dir):
-    queue = semantics.task_queue(_routes(spark, sf_dir, 70), A.page_text(spark, sf_dir), ["m-a", "m-b"], 400)
+    queue = semantics.task_queue(_routes(spark, sf_dir, 70), A.page_text(spark, sf_dir), ["m-a", "m-b"])
     asked = semantics.run_queue(queue, semantics.DryRun()).select("doc_id", "model", "page", "status")
     return queue.join(asked, ["doc_id", "model", "page"])
 
@@ -500,16 +486,20 @@ def visual_items(spark, sf_dir):
     return visuals.items(_placeholders(spark, sf_dir))
 
 
-def _rated(spark, sf_dir, limit=3):
+@query(ITEMS_SQL + " SELECT doc_id, n::INT AS n, label, asset FROM items WHERE n <= 3")
+def first_visuals(spark, sf_dir):
+    """The limit is the feature here."""
+    return visuals.first_items(visuals.items(_placeholders(spark, sf_dir)), 3).select("doc_id", "n", "label", "asset")
+
+
+def _rated(spark, sf_dir):
     found = visuals.items(_placeholders(spark, sf_dir))
-    if limit is not None:
-        found = visuals.first_items(found, limit)
     described = found.where("visual_id % 2 = 0").select("doc_id", "visual_id", F.concat(F.lit("seen "), "label").alias("description"))
     return visuals.statuses(found, A.assets(spark, sf_dir), 2000, described)
 
 
 STATUS_SQL = ITEMS_SQL + """, rated AS (SELECT i.doc_id, i.n, i.label, i.asset, a.bytes IS NOT NULL AS asset_exists, coalesce(a.bytes, 0) AS asset_bytes, CASE WHEN a.bytes IS NULL THEN 'missing_asset' WHEN a.bytes < 2000 THEN 'skipped_small_asset' WHEN i.n % 2 = 0 THEN 'described' ELSE 'pending' END AS status
-  FROM items i LEFT JOIN assets a ON a.doc_id = i.doc_id AND a.asset_path = i.asset WHERE i.n <= 3)"""
+  FROM items i LEFT JOIN assets a ON a.doc_id = i.doc_id AND a.asset_path = i.asset)"""
 
 
 @query(STATUS_SQL + " SELECT doc_id, n::INT AS visual_id, asset, asset_exists, asset_bytes::BIGINT AS asset_bytes, status FROM rated")
@@ -533,23 +523,6 @@ def filled_visuals(spark, sf_dir):
     return visuals.fill(_placeholders(spark, sf_dir), _rated(spark, sf_dir), 2000)
 
 
-# the two above show the first three visuals of a document, as their SQL says; these have all of them
-
-
-def _of_all(sql):
-    return sql.replace(" WHERE i.n <= 3)", ")")
-
-
-@query(_of_all(ORACLE["visual_statuses"]))
-def all_visual_statuses(spark, sf_dir):
-    return _rated(spark, sf_dir, None).select("doc_id", "visual_id", "asset", "asset_exists", F.col("asset_bytes").cast("long").alias("asset_bytes"), "status")
-
-
-@query(_of_all(FILLED_SQL))
-def all_filled_visuals(spark, sf_dir):
-    return visuals.fill(_placeholders(spark, sf_dir), _rated(spark, sf_dir, None), 2000)
-
-
 @query(f"WITH {A.LINES_SQL}, h AS (SELECT doc_id, pos AS off, pos // 4 + 1 AS page FROM lines WHERE pos % 4 = 1), o AS (SELECT doc_id, pos AS off FROM lines WHERE pos % 3 = 0) SELECT o.doc_id, o.off::INT AS off, h.page::INT AS page FROM o ASOF LEFT JOIN h ON o.doc_id = h.doc_id AND o.off >= h.off")
 def visual_page_asof(spark, sf_dir):
     rows = A.lines(spark, sf_dir).select("doc_id", F.col("pos").alias("off"))
@@ -673,6 +646,9 @@ def integration_reports(spark, sf_dir):
     return package.integration_report(_overlay(spark, sf_dir))
 
 
+from . import run_queries  # noqa: E402, F401  registers its own
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

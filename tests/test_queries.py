@@ -45,11 +45,11 @@ def test_entry(spark):
 def test_every_visual_is_rated_and_filled(spark):
     found = queries.QUERIES
     items = found["visual_items"](spark, SF).select("doc_id", "visual_id")
-    rated = found["all_visual_statuses"](spark, SF)
+    rated = found["visual_statuses"](spark, SF)
     assert items.where("visual_id > 3").count() > 0
     assert Counter(map(tuple, rated.select("doc_id", "visual_id").collect())) == Counter(map(tuple, items.collect()))
     told = {(r.doc_id, r.visual_id) for r in rated.where("status = 'described'").collect()}
-    filled = {r.doc_id: r.content for r in found["all_filled_visuals"](spark, SF).collect()}
+    filled = {r.doc_id: r.content for r in found["filled_visuals"](spark, SF).collect()}
     assert any(n > 3 for _, n in told)
     assert sum(c.count("- Uncertainty: see description above.") for c in filled.values()) == len(told)
 

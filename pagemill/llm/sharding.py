@@ -6,7 +6,9 @@ left over go on clockwise to the next virtual node whose shard has room, one wav
 
 What decides is the count of keys in each cell, so the walk needs no rows: the driver gets at most
 ``cells`` counts and makes at most ``cells + shards`` pieces, each a range of ranks within a cell, with
-the shard and the first slot there.  Every row then finds its piece by its rank in its cell.
+the shard and the first slot there.  Every row then finds its piece by its rank in its cell.  Cells with more
+than one row in ``HOT`` are ranked in buckets: by a hash of the whole row, and where one row is repeated so often,
+by the task that read it, too; a bucket's first rank is a running sum over the buckets before it.
 
 With ``slack=0`` the bounds are the floor and ceiling of the mean and add up to the rows, so counts
 differ by one at most (law ``rows``); with ``slack > 0`` a bound is ``ceil((1 + slack) * mean)`` and fewer
@@ -25,8 +27,12 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 CELLS = 1 << 14
 VNODES = 128
+#: A cell, or one and the same row, is hot if it has more than one row in so many; how many buckets it is dealt to.
+HOT, BUCKETS = 1000, 64
 
 
 def cell_of(key: Column, cells: int = CELLS) -> Column:
@@ -67,6 +73,29 @@ def walk(counts: dict[int, int], nodes: list[tuple[int, int, int]], room: list[i
     return pieces
 
 
+def _ranked(rows: DataFrame, hot: list[int]) -> DataFrame:
+    """Rows with their rank in their cell, by doc_id and text, or by bucket in the hot ones."""
+    by = ["doc_id", "text_crc32", "size"]
+    rank = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy(*by)).cast("long") - 1
+    if not hot:
+        return rows.withColumn("rank", rank("cell"))
+    # written, so that the task that read a row stays the same
+    split = materialize(rows.withColumns({"h": F.xxhash64(*by), "task": F.spark_partition_id()}), "shard-rows")
+    own, total = split.where(F.col("cell").isin(hot)), split.count()
+    same = own.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * HOT > total).select(F.col("h").alias("often"))
+    # HOT rows at most
+    own = own.join(F.broadcast(same), F.col("h") == F.col("often"), "left")
+    often = F.col("often").isNotNull()
+    own = own.withColumns({"a": F.pmod("h", F.lit(BUCKETS)), "b": F.coalesce("often", F.lit(0)), "c": F.when(often, F.pmod("task", F.lit(BUCKETS)) + 1).otherwise(F.lit(0))})
+    keys = ["cell", "a", "b", "c"]
+    sizes = own.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.withColumn("before", F.sum("n").over(Window.partitionBy("cell").orderBy("a", "b", "c")) - F.col("n")).drop("n")
+    # HOT cells at most, and as many rows that are often there, each in its buckets
+    dealt = own.withColumn("in_bucket", rank(*keys)).join(F.broadcast(before), keys)
+    cold = split.where(~F.col("cell").isin(hot)).select(*by, "cell").withColumn("rank", rank("cell"))
+    return cold.unionByName(dealt.select(*by, "cell", (F.col("before") + F.col("in_bucket")).alias("rank")))
+
+
 def assign(docs: DataFrame, shards: int = 8, vnodes: int = VNODES, cells: int = CELLS, slack: float = 0.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: doc_id, size, text_crc32, law, shard, slot, grown_shard."""
     spark = docs.sparkSession
@@ -81,8 +110,7 @@ def assign(docs: DataFrame, shards: int = 8, vnodes: int = VNODES, cells: int =
     )
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = docs.select(doc_id.alias("doc_id"), (F.octet_length(text).cast("long") + 1).alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), cell_of(doc_id, cells).alias("cell"))
-    in_cell = Window.partitionBy("cell").orderBy("doc_id", "text_crc32", "size")
-    ranked = rows.withColumn("rank", F.row_number().over(in_cell).cast("long") - 1)
+    ranked = _ranked(rows, [c for c, n in counts.items() if n * HOT > sum(counts.values())])
     # at most `cells` rows, as the driver made them
     placed = ranked.join(F.broadcast(plan), ranked["cell"] == plan["c"])
     piece = F.element_at(F.filter("p", lambda x: (x["f"] <= F.col("rank")) & (F.col("rank") < x["e"])), 1)

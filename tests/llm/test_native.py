@@ -2,10 +2,13 @@
 
 import hashlib
 import re
+import struct
 import textwrap
 import zlib
 from collections import Counter, defaultdict
 
+import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from pagemill.llm import common, exact_dedup, licenses, sharding
@@ -88,6 +91,55 @@ def test_one_key_with_a_third_of_the_rows_overflows_clockwise(docs_of):
     assert {len(v) for v in slots.values()} <= {37, 38}
 
 
+def plain_cell(doc_id, cells=sharding.CELLS):
+    """Spark's xxhash64 of a long: seed 42, and 42 itself for a null."""
+    h = 42 if doc_id is None else xxhash.xxh64_intdigest(struct.pack("<q", doc_id), seed=42)
+    return h % cells if h < 1 << 63 else (h - (1 << 64)) % cells
+
+
+def plain_placement(pairs, nodes, shards=8):
+    """How many rows of each doc_id each shard gets, row by row: one wave after the other, from node to node, clockwise."""
+    room = [len(pairs) // shards + (s < len(pairs) % shards) for s in range(shards)]
+    waiting = defaultdict(list)
+    for i, t in pairs:
+        waiting[plain_cell(i)].append((i is not None, i or 0, zlib.crc32((t or "").encode()), len((t or "").encode())))
+    at = {cell: next((k for k, n in enumerate(nodes) if n[0] >= cell), 0) for cell in waiting}
+    placed = Counter()
+    while waiting:
+        after = {}
+        for cell in sorted(waiting):
+            while not room[nodes[at[cell]][1]]:
+                at[cell] = (at[cell] + 1) % len(nodes)
+            shard, rows = nodes[at[cell]][1], sorted(waiting[cell])
+            took, left = rows[: room[shard]], rows[room[shard] :]
+            room[shard] -= len(took)
+            placed.update((r[1] if r[0] else None, r[2], shard) for r in took)
+            if left:
+                after[cell] = left
+                at[cell] = (at[cell] + 1) % len(nodes)
+        waiting = after
+    return placed
+
+
+def test_every_row_goes_where_a_plain_walk_puts_it(docs_of, spark, monkeypatch):
+    monkeypatch.setattr(sharding, "HOT", 50)
+    pairs = [(i * 7919 - 3000, f"text {i % 11}") for i in range(900)] + [(i, "x") for i in range(5)] * 3
+    nodes = sharding.ring(spark, 8)
+    rows = sharding.assign(docs_of(pairs)).collect()
+    assert Counter((r.doc_id, r.text_crc32, r.shard) for r in rows) == plain_placement(pairs, nodes)
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_a_hot_key_is_ranked_in_buckets(docs_of, monkeypatch, same):
+    """A third of the rows without a doc_id, all alike or all different, and one row that is repeated."""
+    monkeypatch.setattr(sharding, "HOT", 20)
+    pairs = [(i, "t") for i in range(600)] + [(None, "same" if same else f"text {i}") for i in range(400)] + [(7, "often")] * 200
+    rows = sharding.assign(docs_of(pairs)).collect()
+    slots = rows_by_shard(rows)
+    assert all(sorted(v) == list(range(150)) for v in slots.values()) and len(slots) == 8
+    assert Counter((r.doc_id, r.text_crc32) for r in rows) == Counter((i, zlib.crc32(t.encode())) for i, t in pairs)
+
+
 def at_home(counts, nodes):
     """Every key at the shard of the first virtual node at or after its cell."""
     return Counter({(cell, next((s for place, s, _ in nodes if place >= cell), nodes[0][1])): n for cell, n in counts.items() if n})

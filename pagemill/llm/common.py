@@ -7,29 +7,16 @@ that has none set, as in tests.
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_written: list[str] = []
-
+from ..sources.tables import read_table, scratch
 
-def shared_root(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor shares")
-        root = "file://" + tempfile.mkdtemp(prefix="pagemill-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+_written: list[str] = []
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    path = f"{shared_root(spark)}/pagemill/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     _written.append(path)
     return path
 
@@ -86,7 +73,7 @@ def join_classes(rows: DataFrame, classes: DataFrame, key: str, size: str, salts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def text_or_empty(column: str = "text"):

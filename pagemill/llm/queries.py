@@ -97,5 +97,18 @@ FROM w LEFT JOIN b USING (n) LEFT JOIN m USING (n)
 ORACLE["op6_license_scan"] = license_sql()
 
 
+ORACLE["op9_minhash_near_dedup"] = rf"""
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS n, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+s AS (SELECT n, doc_id, CASE WHEN len(words) >= 3 THEN list_distinct(list_transform(range(1, len(words) - 1), lambda i: words[i : i + 2])) WHEN len(words) > 0 THEN [words] ELSE [] END AS held FROM w),
+x AS (SELECT n, hash(unnest(held)) AS g FROM s WHERE doc_id IS NOT NULL),
+shared AS (SELECT a.n AS a, b.n AS b, count(*) AS n FROM x a JOIN x b ON a.g = b.g AND a.n < b.n GROUP BY ALL),
+links AS (SELECT p.doc_id AS a, q.doc_id AS b FROM shared JOIN s p ON p.n = shared.a JOIN s q ON q.n = shared.b WHERE 100 * shared.n >= 85 * (len(p.held) + len(q.held) - shared.n) AND p.doc_id <> q.doc_id),
+e AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+r AS (SELECT DISTINCT a AS node, a AS seen FROM e UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.seen),
+c AS (SELECT node, min(seen) AS component FROM r GROUP BY node)
+SELECT s.doc_id, len(held)::BIGINT AS n_shingles, coalesce(component, s.doc_id) AS component_id, s.doc_id IS NOT DISTINCT FROM coalesce(component, s.doc_id) AS kept FROM s LEFT JOIN c ON c.node = s.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

@@ -267,15 +267,14 @@ def train(docs: DataFrame, learn: Column, text_col: str, lang_col: str, vocabula
         for lang, words in found.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(words)), pa.array(list(words)), pa.array(list(words.values()), pa.int64())], ["lang", "word", "n"])
 
-    def fit_one(key, frame):
-        import pandas as pd
-
-        prob = fit(dict(zip(frame["word"], frame["n"], strict=True)), pieces(vocabulary), rounds)
-        return pd.DataFrame({"lang": [key[0]], "prob": [prob]})
+    def fit_one(key: tuple, table: pa.Table) -> pa.Table:
+        counts = dict(zip(table.column("word").to_pylist(), table.column("n").to_pylist(), strict=True))
+        prob = fit(counts, pieces(vocabulary), rounds)
+        return pa.table({"lang": pa.array([key[0].as_py()]), "prob": pa.array([prob.tolist()])})
 
     words = sample(docs, learn, most, text_col, lang_col).mapInArrow(count, "lang string, word string, n long")
     words = words.groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    fitted = words.groupBy("lang").applyInPandas(fit_one, "lang string, prob array<double>")
+    fitted = words.groupBy("lang").applyInArrow(fit_one, "lang string, prob array<double>")
     # one row a language, one number a piece
     return {r.lang: list(r.prob) for r in fitted.collect()}
 

@@ -63,8 +63,10 @@ def assemble(pages: DataFrame, body: str = "markdown", between: str = "\n") -> D
     return pages.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", F.col(body).alias("b")))), lambda s: s["b"]), between).alias("content"))
 
 
-def fallback_page(text: Column, snapshot: Column) -> Column:
+def fallback_page(text: Column, page: Column, snapshot: Column) -> Column:
     """A page of a plain text layer, with its snapshot if there is one."""
     own = strip(F.coalesce(text, F.lit("")))
+    # fixed values: what stands for no text, and the name of a snapshot
     shown = F.when(own != "", own).otherwise("[No extractable text]")
-    return F.when(snapshot.isNotNull(), F.concat(shown, F.lit("\n\n![Page snapshot]("), snapshot, F.lit(")"))).otherwise(shown)
+    picture = F.concat(F.lit("\n\n![Page "), page.cast("string"), F.lit(" snapshot]("), snapshot, F.lit(")"))
+    return F.concat(F.lit("## Page "), page.cast("string"), F.lit("\n\n"), shown, F.when(snapshot.isNotNull(), picture).otherwise(""), F.lit("\n"))

@@ -59,6 +59,15 @@ def page_prompt(context: Column, action: Column, page: Column, markdown_only: bo
     return F.concat(asked, tail)
 
 
+VISUAL = "Describe this visual element for a reader who cannot see it, in Markdown bullets: kind, labels, structure or axes, what it shows, what follows from it, what is uncertain. Only what is visible."
+
+
+def visual_prompt(visual_id: Column, page: Column, label: Column, asset: Column, before: Column, after: Column) -> Column:
+    """What a model is asked about a single visual, with what stands around it."""
+    where = F.concat(F.lit("Visual "), visual_id.cast("string"), F.lit(", page "), F.coalesce(page.cast("string"), F.lit("unknown")), F.lit(", "), label, F.lit(" ("), asset, F.lit(")"))
+    return F.concat(F.lit(VISUAL + "\n\n"), where, F.lit("\n\nBefore:\n"), before, F.lit("\n\nAfter:\n"), after)
+
+
 class Provider(Protocol):
     """Answers (doc_id, model, page, prompt) rows; runs within a task."""
 

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.udfs import plain_text
 from ..operators import audit, blocks, integrate, ledger, package, routing, scoring, segment, semantics, visuals
 from . import adapters as A
-from .registry import ORACLE, QUERIES, query
+from .registry import query
 
 SENSITIVITIES = (0, 30, 50, 70, 100)
 
@@ -442,7 +439,7 @@ def _links(spark, sf_dir):
     return visuals.links(A.with_visuals(spark, sf_dir), A.assets(spark, sf_dir))
 
 
-def _placeholders(spark, sf_dir):
+def placeholders(spark, sf_dir):
     return visuals.rewrite_links(A.with_visuals(spark, sf_dir), A.assets(spark, sf_dir))
 
 
@@ -467,7 +464,7 @@ REWRITTEN_SQL = (
 
 @query(REWRITTEN_SQL + " SELECT doc_id, content FROM rewritten")
 def rewritten_links(spark, sf_dir):
-    return _placeholders(spark, sf_dir)
+    return placeholders(spark, sf_dir)
 
 
 ITEMS_SQL = (
@@ -483,17 +480,17 @@ items AS (SELECT k.doc_id, k.n, k.n AS visual_id, k.alt AS label, k.asset, (k.po
 
 @query(ITEMS_SQL + " SELECT doc_id, n::INT AS n, visual_id::INT AS visual_id, label, asset, page::INT AS page, right(b, 1200) AS context_before, right(a, 1200) AS context_after FROM items")
 def visual_items(spark, sf_dir):
-    return visuals.items(_placeholders(spark, sf_dir))
+    return visuals.items(placeholders(spark, sf_dir))
 
 
 @query(ITEMS_SQL + " SELECT doc_id, n::INT AS n, label, asset FROM items WHERE n <= 3")
 def first_visuals(spark, sf_dir):
     """The limit is the feature here."""
-    return visuals.first_items(visuals.items(_placeholders(spark, sf_dir)), 3).select("doc_id", "n", "label", "asset")
+    return visuals.first_items(visuals.items(placeholders(spark, sf_dir)), 3).select("doc_id", "n", "label", "asset")
 
 
 def _rated(spark, sf_dir):
-    found = visuals.items(_placeholders(spark, sf_dir))
+    found = visuals.items(placeholders(spark, sf_dir))
     described = found.where("visual_id % 2 = 0").select("doc_id", "visual_id", F.concat(F.lit("seen "), "label").alias("description"))
     return visuals.statuses(found, A.assets(spark, sf_dir), 2000, described)
 
@@ -520,7 +517,7 @@ SELECT l.doc_id, '# Document ' || l.doc_id || chr(10) || chr(10) || string_agg(C
 
 @query(FILLED_SQL)
 def filled_visuals(spark, sf_dir):
-    return visuals.fill(_placeholders(spark, sf_dir), _rated(spark, sf_dir), 2000)
+    return visuals.fill(placeholders(spark, sf_dir), _rated(spark, sf_dir), 2000)
 
 
 @query(f"WITH {A.LINES_SQL}, h AS (SELECT doc_id, pos AS off, pos // 4 + 1 AS page FROM lines WHERE pos % 4 = 1), o AS (SELECT doc_id, pos AS off FROM lines WHERE pos % 3 = 0) SELECT o.doc_id, o.off::INT AS off, h.page::INT AS page FROM o ASOF LEFT JOIN h ON o.doc_id = h.doc_id AND o.off >= h.off")
@@ -575,7 +572,7 @@ def asset_extensions(spark, sf_dir):
 
 @query(f"WITH {A.LINES_SQL}, {A.ASSETS_SQL}, c AS (SELECT doc_id, len(string_split(text, chr(10))) AS n FROM documents), a AS (SELECT doc_id, count(*) AS asset_files FROM assets GROUP BY doc_id) SELECT doc_id, ((n + 3) // 4)::BIGINT AS page_headings, ((n + 1) // 4)::BIGINT AS visual_placeholders, ((n + 3) // 4 + 1)::BIGINT AS chunks, coalesce(asset_files, 0) AS asset_files FROM c LEFT JOIN a USING (doc_id)")
 def package_counts(spark, sf_dir):
-    docs = _placeholders(spark, sf_dir)
+    docs = placeholders(spark, sf_dir)
     return audit.package_counts(docs, segment.page_chunks(docs), A.assets(spark, sf_dir))
 
 
@@ -644,14 +641,3 @@ FROM o WHERE page IS NOT NULL GROUP BY doc_id"""
 )
 def integration_reports(spark, sf_dir):
     return package.integration_report(_overlay(spark, sf_dir))
-
-
-from . import run_queries  # noqa: E402, F401  registers its own
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)

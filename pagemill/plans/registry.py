@@ -18,3 +18,18 @@ def query(sql: str | None = None):
         return f
 
     return register
+
+
+def _load() -> None:
+    """The modules register their queries when they are imported."""
+    from . import queries, run_queries  # noqa: F401
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _load()
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    _load()
+    return dict(ORACLE)

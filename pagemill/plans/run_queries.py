@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
 from ..functions import text as T
-from ..operators import audit, blocks, package, runs, semantics
+from ..operators import audit, blocks, package, runs, semantics, visuals
 from ..sources import files
 from ..sources.tables import scratch
 from . import adapters as A
+from .queries import ITEMS_SQL, placeholders
 from .registry import query
 
 # --- files: the benchmark's items as Markdown, and read again
@@ -137,11 +138,14 @@ def inserted_summaries(spark, sf_dir):
     return _summarised(spark, sf_dir).select("doc_id", T.insert_summary(F.col("content"), F.lit("## Summary")).alias("content"))
 
 
-@query(f"WITH {A.LINES_SQL}, {A.PAGE_TEXT_SQL} SELECT doc_id, page::INT AS page, CASE WHEN doc_id % 3 = 0 OR trim(pdf_text, ' ' || chr(10)) = '' THEN '[No extractable text]' ELSE trim(pdf_text, ' ' || chr(10)) END || CASE WHEN page % 2 = 0 THEN chr(10) || chr(10) || '![Page snapshot](p' || page || '.png)' ELSE '' END AS shown FROM page_text")
+@query(
+    f"""WITH {A.LINES_SQL}, {A.PAGE_TEXT_SQL} SELECT doc_id, page::INT AS page, '## Page ' || page || chr(10) || chr(10) || CASE WHEN doc_id % 3 = 0 OR trim(pdf_text, ' ' || chr(10)) = '' THEN '[No extractable text]' ELSE trim(pdf_text, ' ' || chr(10)) END
+  || CASE WHEN page % 2 = 0 THEN chr(10) || chr(10) || '![Page ' || page || ' snapshot](p' || page || '.png)' ELSE '' END || chr(10) AS shown FROM page_text"""
+)
 def fallback_pages(spark, sf_dir):
     text = F.when(F.pmod("doc_id", F.lit(3)) != 0, F.col("pdf_text"))
     snapshot = F.when(F.col("page") % 2 == 0, F.concat(F.lit("p"), F.col("page").cast("string"), F.lit(".png")))
-    return A.page_text(spark, sf_dir).select("doc_id", "page", blocks.fallback_page(text, snapshot).alias("shown"))
+    return A.page_text(spark, sf_dir).select("doc_id", "page", blocks.fallback_page(text, F.col("page"), snapshot).alias("shown"))
 
 
 @query(f"WITH {A.ASSETS_SQL} SELECT doc_id, relative_path AS source, 'engine_output/' || relative_path AS target FROM assets")
@@ -258,6 +262,12 @@ def _prompt_sql():
     return f"SELECT doc_id, page::INT AS page, CASE WHEN page % 3 = 0 THEN {quoted(semantics.FULL)} WHEN page % 2 = 0 THEN {quoted(semantics.ADD)} ELSE {quoted(semantics.ANEW)} END || {tail} AS prompt FROM (SELECT doc_id, page, pdf_text AS t FROM page_text)"
 
 
+@query(ITEMS_SQL + " SELECT doc_id, n::INT AS n, " + f"'{semantics.VISUAL}' || chr(10) || chr(10) || 'Visual ' || n || ', page ' || page || ', ' || label || ' (' || asset || ')' || chr(10) || chr(10) || 'Before:' || chr(10) || right(b, 1200) || chr(10) || chr(10) || 'After:' || chr(10) || right(a, 1200) AS prompt FROM items")
+def visual_prompts(spark, sf_dir):
+    items = visuals.items(placeholders(spark, sf_dir))
+    return items.select("doc_id", "n", semantics.visual_prompt(*[F.col(c) for c in ("visual_id", "page", "label", "asset", "context_before", "context_after")]).alias("prompt"))
+
+
 @query(f"WITH {A.LINES_SQL}, {A.PAGE_TEXT_SQL} {_prompt_sql()}")
 def page_prompts(spark, sf_dir):
     action = F.when(F.col("page") % 2 == 0, "augment").otherwise("rewrite")

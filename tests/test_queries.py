@@ -10,8 +10,9 @@ import duckdb
 import pytest
 
 import __spark_entry__
-from pagemill.plans import queries
+from pagemill.plans import registry
 
+QUERIES, ORACLE = registry.queries(), registry.oracle_sql()
 SF = "/root/testdata/sf0.001"
 
 
@@ -29,10 +30,10 @@ def counted(columns, rows):
     return sorted(columns), Counter(tuple(plain(r[k]) for k in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_its_sql(spark, duck, name):
-    found = queries.QUERIES[name](spark, SF)
-    told = duck.execute(queries.ORACLE[name])
+    found = QUERIES[name](spark, SF)
+    told = duck.execute(ORACLE[name])
     columns = [c[0] for c in told.description]
     assert counted(found.columns, [tuple(r) for r in found.collect()]) == counted(columns, told.fetchall())
 
@@ -43,7 +44,7 @@ def test_entry(spark):
 
 
 def test_every_visual_is_rated_and_filled(spark):
-    found = queries.QUERIES
+    found = QUERIES
     items = found["visual_items"](spark, SF).select("doc_id", "visual_id")
     rated = found["visual_statuses"](spark, SF)
     assert items.where("visual_id > 3").count() > 0
@@ -56,6 +57,6 @@ def test_every_visual_is_rated_and_filled(spark):
 
 def test_data_urls_hold_whole_texts(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
-    urls = {r.doc_id: r.url for r in queries.QUERIES["data_urls"](spark, SF).collect()}
+    urls = {r.doc_id: r.url for r in QUERIES["data_urls"](spark, SF).collect()}
     assert max(map(len, texts.values())) > 60
     assert {i: base64.b64decode(u.split(",", 1)[1]).decode() for i, u in urls.items()} == texts

@@ -1,11 +1,14 @@
 """Choices, guards, commands, answers and reading tables."""
 
+import sys
+import types
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from pagemill.operators import runs
-from pagemill.sources import tables
+from pagemill.sources import parsers, tables
 
 
 def one(spark, column):
@@ -52,3 +55,24 @@ def test_a_small_file_is_dealt_to_all_cores(spark, tmp_path, monkeypatch):
     assert tables.read_table(spark, path).rdd.getNumPartitions() == 1  # a folder is read as it lies
     monkeypatch.setattr(tables, "SMALL", 1)
     assert tables.read_table(spark, part).rdd.getNumPartitions() == 1 and tables.read_table(spark, part).count() == 100
+
+
+class _Page:
+    def __init__(self, text):
+        self.text = text
+
+    def extract_text(self):
+        return self.text
+
+
+def test_pdf_pages_by_whichever_library_is_there(spark, monkeypatch):
+    monkeypatch.setitem(sys.modules, "pypdf", None)
+    monkeypatch.setitem(sys.modules, "fitz", None)
+    assert parsers.count_of(b"x") is None
+    reader = type("Reader", (), {"__init__": lambda self, data: setattr(self, "pages", [_Page("one"), _Page(None)])})
+    monkeypatch.setitem(sys.modules, "pypdf", types.SimpleNamespace(PdfReader=reader))
+    assert parsers.count_of(b"x") == 2 and parsers.texts_of(b"x") == ["one", ""]
+    files = spark.createDataFrame([(1, b"no pdf"), (2, None)], "doc_id long, content binary")
+    assert [r.n for r in files.select(parsers.page_count("content").alias("n")).collect()] == [None, None]  # workers have none, or can't read it
+    told = parsers.page_texts(files).collect()
+    assert len(told) == 2 and all(r.page is None and r.error for r in told)

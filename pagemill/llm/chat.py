@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
@@ -241,20 +241,22 @@ def learn(turns: DataFrame) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), kinds, strict=True)], schema=kinds)
 
     counted = materialize(turns.mapInArrow(count, "kind string, a string, b string, f int, n long, part long, pos long, conv_id long"), "turn-counts")
-    # two rows a part and task; a run's last row comes right before the next one's first; a run of one row has both, first and last
-    order = Window.orderBy("part", "pos", "kind")
-    before = lambda c: F.lag(c).over(order)
-    ends = counted.where("kind IN ('first', 'last')")
-    joined = ends.select("kind", F.col("a").alias("b"), F.when((before("kind") == "last") & before("conv_id").eqNullSafe(F.col("conv_id")), before("a")).otherwise("").alias("a")).where("kind = 'first'")
-    across = joined.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).select(F.lit("turn").alias("kind"), "a", "b", F.lit(0).alias("f"), "n")
-    within = counted.where("kind IN ('turn', 'line')").groupBy("kind", "a", "b", "f").agg(F.sum("n").alias("n"))
     # at most some sixty rows
     turn, line = Counter(), Counter()
-    for r in within.unionByName(across).collect():
+    for r in counted.where("kind IN ('turn', 'line')").groupBy("kind", "a", "b", "f").agg(F.sum("n").alias("n")).collect():
         if r.kind == "line":
             line[r.a, r.f] += r.n
         elif UNKNOWN not in (r.a, r.b):
             turn[r.a, r.b] += r.n
+    # two rows a part and task: a run's first row follows the last one of the run before
+    last = None
+    for r in sorted(counted.where("kind IN ('first', 'last')").select("kind", "a", "part", "pos", "conv_id").collect(), key=lambda r: (r.part, r.pos, r.kind)):
+        if r.kind == "first":
+            before = last.a if last is not None and last.conv_id == r.conv_id else ""
+            if UNKNOWN not in (before, r.a):
+                turn[before, r.a] += 1
+        else:
+            last = r
     return Model(turn, line)
 
 

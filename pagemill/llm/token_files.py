@@ -155,9 +155,9 @@ def write_token_files(
 
     bounded_batches(spark)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    # the hash parts documents that share a doc_id
-    keys = ["doc_id", F.xxhash64("text")]
-    ordered = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # the hash parts documents that share a doc_id, and the last key rows that share their text, too
+    keys = ["doc_id", "h", "m"]
+    ordered = rows.withColumns({"h": F.xxhash64("text"), "m": F.monotonically_increasing_id()}).repartitionByRange(*keys).sortWithinPartitions(*keys).select("doc_id", "text")
     reported = materialize(ordered.mapInArrow(write, "part long, tokens_file string, docs_file string, n_docs long, n_tokens long, n_sequences long"), "token-manifest")
     # one row a file
     return reported.withColumn("base", F.sum("n_tokens").over(Window.orderBy("part")) - F.col("n_tokens"))

@@ -109,6 +109,20 @@ def test_token_files_read_back(docs_of, spark):
     assert not first.flags.owndata  # a view into the mapped file
 
 
+def test_rows_without_an_id_spread_over_files(docs_of, spark):
+    """Half of the rows are one and the same, without an id."""
+    pairs = [(None, "the same text")] * 600 + [(i, f"text {i}") for i in range(600)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # which would put these few rows together
+    try:
+        manifest = token_files.write_token_files(docs_of(pairs).repartition(8))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = manifest.collect()
+    assert sum(p.n_docs for p in parts) == 1200 and max(p.n_docs for p in parts) < 500
+    rows = token_files.read_documents(manifest).orderBy("start").collect()
+    assert [r.doc_id for r in rows] == [None] * 600 + list(range(600)) and len({(r.n_tokens, r.ids_crc32) for r in rows[:600]}) == 1
+
+
 def test_empty_tables(docs_of):
     assert packing.pack(docs_of([])).count() == 0
     assert token_files.read_documents(token_files.write_token_files(docs_of([]))).count() == 0

@@ -81,28 +81,29 @@ def n_words(text: Column) -> Column:
 
 def words_in(text: Column) -> Column:
     """A text's words in lower case, in order."""
-    return F.filter(F.split(F.translate(text, UPPER, LOWER), rf"{GAP}+"), lambda w: w != "")
+    return F.array_remove(F.split(F.translate(text, UPPER, LOWER), rf"{GAP}+"), "")
 
 
-def base_columns(words: Column, phrases: dict[str, str]) -> dict[str, Column]:
-    """n_base, first_word, last_word and base_labels of the column ``text`` and its words."""
+def with_base(rows: DataFrame, phrases: dict[str, str]) -> DataFrame:
+    """Adds n_base, first_word, last_word and base_labels to rows with text and words."""
     if not phrases:
         none = F.lit(None).cast("long")
-        return {"n_base": F.lit(0).cast("long"), "first_word": none, "last_word": none, "base_labels": F.array().cast("array<string>")}
+        return rows.withColumns({"n_base": F.lit(0).cast("long"), "first_word": none, "last_word": none, "base_labels": F.array().cast("array<string>")})
     anywhere = "(?i)(?:" + "|".join(phrase_pattern(p) for p in phrases) + ")"
     # a plain search first: few texts hold all words of a phrase anywhere
     lower = F.lower("text")
     likely = reduce(or_, [reduce(and_, [F.contains(lower, F.lit(w)) for w in p.split()]) for p in phrases])
     # cut before each place; the line feed in front adds no word and keeps the first cut from the start
     parts = F.when(likely & F.col("text").rlike(anywhere), F.split(F.concat(F.lit("\n"), "text"), rf"(?={anywhere})")).otherwise(F.array(F.lit("")))
-    found = F.size(parts) > 1
+    rows = rows.withColumn("parts", parts)  # a column, so that it is computed once
+    found = F.size("parts") > 1
     labels = [F.when(found & F.col("text").rlike("(?i)" + phrase_pattern(p)), F.lit(label)) for p, label in phrases.items()]
-    return {
-        "n_base": (F.size(parts) - 1).cast("long"),
-        "first_word": F.when(found, n_words(F.element_at(parts, 1))),
-        "last_word": F.when(found, F.size(words) - n_words(F.element_at(parts, -1))),
+    return rows.withColumns({
+        "n_base": (F.size("parts") - 1).cast("long"),
+        "first_word": F.when(found, n_words(F.element_at("parts", 1))),
+        "last_word": F.when(found, F.size("words") - n_words(F.element_at("parts", -1))),
         "base_labels": F.array_sort(F.array_distinct(F.array_compact(F.array(*labels)))),
-    }
+    }).drop("parts")
 
 
 def block_words(n: int) -> int:
@@ -112,7 +113,7 @@ def block_words(n: int) -> int:
 
 def token_order(docs: DataFrame, text_col: str, tokens: list[str]) -> list[str]:
     """Template tokens, those that the fewest documents of the whole table hold first; ties by the token."""
-    held = F.array_distinct(F.filter(words_in(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), lambda w: w.isin(tokens)))
+    held = F.array_intersect(words_in(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), F.array(*map(F.lit, tokens)))
     # one row a template token
     count = {r.token: r.n for r in docs.select(F.explode(held).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n")).collect()}
     return sorted(tokens, key=lambda t: (count.get(t, 0), t))
@@ -158,9 +159,12 @@ def license_scan(
 
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"), words_in(text).alias("words"))
-    places = F.filter(F.transform("words", lambda w, i: F.when(w.isin(prefix), i)), lambda i: i.isNotNull()) if prefix else F.array().cast("array<int>")
+    found = F.filter(F.transform("words", lambda w, i: F.when(w.isin(prefix), i)), lambda i: i.isNotNull())
+    none = F.array().cast("array<int>")
+    # a plain look first: texts without any such word are passed over
+    places = F.when(F.arrays_overlap("words", F.array(*map(F.lit, prefix))), found).otherwise(none) if prefix else none
     base = ["row", "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels"]
-    rows = rows.withColumns({"n_words": F.size("words").cast("long"), **base_columns(F.col("words"), PHRASES if phrases is None else phrases), "places": places})
+    rows = with_base(rows, PHRASES if phrases is None else phrases).withColumns({"n_words": F.size("words").cast("long"), "places": places})
     blocks = [_blocks(F.col("words"), wide, order, F.col("places")) for wide in sorted({p["wide"] for p in postings})]
     near = F.filter(F.concat(*blocks), lambda b: F.size(b["held"]) >= least) if blocks else F.array().cast("array<struct<wide:int,held:array<string>>>")
     one = rows.select(*base, F.explode_outer(near).alias("b")).select(*base, F.col("b.wide").alias("b_wide"), F.col("b.held").alias("held"))

@@ -12,6 +12,7 @@ PAGE_CN = rf"(?Umd)(?=^## 第{WS}*\d+{WS}*页)"
 PAGE_NUMBER = r"(?U)\A## Page (\d+)\b"
 PAGE_NUMBER_CN = rf"(?U)\A## 第{WS}*(\d+){WS}*页"
 CHUNK_CHARS = 2400
+SHELF = 256
 
 
 def _number(section: Column, pattern: str) -> Column:
@@ -53,18 +54,22 @@ def greedy_chunks(docs: DataFrame, content: str = "content", most: int = CHUNK_C
         text = strip(held)
         return F.when(text != "", F.concat(done, F.array(F.struct(unit.alias("unit"), text.alias("text"))))).otherwise(done)
 
+    # finished chunks go to shelves of SHELF, so that adding one copies a shelf and not all that a long document has
+    none = F.array().cast("array<struct<unit:string,text:string>>")
+
     def add(a: Column, line: Column) -> Column:
         starts = line.rlike(heading)
         unit = F.when(starts, F.concat(F.lower(F.regexp_extract(line, heading, 1)), F.lit(":"), F.regexp_extract(line, heading, 2))).otherwise(a["unit"])
-        full = a["size"] + F.length(line) > most
-        fresh = starts | full
+        fresh = starts | (a["size"] + F.length(line) > most)
+        shelved = F.size(a["done"]) >= SHELF
         return F.struct(
-            F.when(fresh, flushed(a["done"], a["unit"], a["held"])).otherwise(a["done"]).alias("done"),
+            F.when(fresh & shelved, F.concat(a["shelves"], F.array(a["done"]))).otherwise(a["shelves"]).alias("shelves"),
+            F.when(fresh, flushed(F.when(shelved, none).otherwise(a["done"]), a["unit"], a["held"])).otherwise(a["done"]).alias("done"),
             unit.alias("unit"),
             F.when(fresh | (a["size"] == 0), line).otherwise(F.concat(a["held"], F.lit("\n"), line)).alias("held"),
             (F.when(fresh, 0).otherwise(a["size"]) + F.length(line) + 1).alias("size"),
         )
 
-    nothing = F.struct(F.array().cast("array<struct<unit:string,text:string>>").alias("done"), F.lit(None).cast("string").alias("unit"), F.lit("").alias("held"), F.lit(0).alias("size"))
-    chunks = F.aggregate(split_lines(F.col(content)), nothing, add, lambda a: flushed(a["done"], a["unit"], a["held"]))
+    nothing = F.struct(F.array().cast("array<array<struct<unit:string,text:string>>>").alias("shelves"), none.alias("done"), F.lit(None).cast("string").alias("unit"), F.lit("").alias("held"), F.lit(0).alias("size"))
+    chunks = F.aggregate(split_lines(F.col(content)), nothing, add, lambda a: F.flatten(F.concat(a["shelves"], F.array(flushed(a["done"], a["unit"], a["held"])))))
     return docs.select("doc_id", F.posexplode(chunks).alias("chunk_index", "c")).select("doc_id", "chunk_index", F.col("c.unit").alias("page_or_slide"), F.col("c.text").alias("text"))

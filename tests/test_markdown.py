@@ -179,3 +179,10 @@ def test_overlays(spark):
     assert found == {None: ("original", None), 1: ("integrated", ["dense_tables", "semantic_uncertainty_or_unit_issue"]), 2: ("kept_original", []), 4: ("kept_original", ["many_numeric_values:26", "sample_review_page"])}
     whole = integrate.integrated(over).first()
     assert whole.integrated_pages == 1 and whole.content.startswith("# t\n\n## Page 1\n\n### new 不确定\n\n## Page 2\nb\n")
+
+
+def test_a_long_document_has_all_its_chunks(spark):
+    text = "\n".join(f"## Page {k}\n" + "x" * 100 for k in range(1, 1500)) + "\n" + "\n".join(["y" * 999] * 2000)
+    rows = segment.greedy_chunks(docs_of(spark, text)).orderBy("chunk_index").collect()
+    assert [r.page_or_slide for r in rows[:1498]] == [f"page:{k}" for k in range(1, 1499)]
+    assert "\n".join(r.text for r in rows) == text and [r.chunk_index for r in rows] == list(range(len(rows)))

@@ -133,9 +133,8 @@ def visible_line(line: Column) -> Column:
 
 
 def is_confidential(line: Column) -> Column:
-    seen = F.lower(visible_line(line))
     # fixed values
-    return seen.contains("内部使用") | seen.contains("严格保密") | seen.isin("confidential", "strictly confidential")
+    return let(F.lower(visible_line(line)), lambda seen: seen.contains("内部使用") | seen.contains("严格保密") | seen.isin("confidential", "strictly confidential"))
 
 
 def is_boilerplate(line: Column) -> Column:
@@ -143,7 +142,7 @@ def is_boilerplate(line: Column) -> Column:
     seen = F.lower(F.regexp_replace(bare, rf"(?U){WS}+", " "))
     # fixed values
     labels = ["内部使用——严格保密", "内部使用—严格保密", "内部使用-严格保密", "严格保密", "confidential", "strictly confidential"]
-    return seen.isin(labels) | seen.rlike(rf"(?U)\A(?:page|第){WS}*\d+{WS}*(?:页)?\z")
+    return let(seen, lambda x: x.isin(labels) | x.rlike(rf"(?U)\A(?:page|第){WS}*\d+{WS}*(?:页)?\z"))
 
 
 def compact_blank_lines(text: Column) -> Column:

@@ -21,7 +21,9 @@ def clean_parsed_page(text: Column) -> Column:
     footer = rf"(?Uid)\A\*footer:{ws}*(.*?)\*\z"
 
     def kept(line: Column) -> Column:
-        bare = strip(line)
+        return let(strip(line), lambda bare: kept_bare(line, bare))
+
+    def kept_bare(line: Column, bare: Column) -> Column:
         cited = strip(F.regexp_extract(bare, footer, 1))
         source = cited.rlike(r"\A(?:资料来源|来源：|来源:)") & ~is_confidential(cited)
         return (
@@ -41,7 +43,7 @@ def clean_parsed_page(text: Column) -> Column:
 
 def clean_answer(text: Column, action: Column) -> Column:
     """A model's Markdown without fence, labels and images, with headings below the page's; empty if it says that nothing is missing."""
-    lines = F.filter(split_lines(unwrap_fence(text)), lambda x: ~(is_confidential(strip(x)) | strip(x).rlike(IMAGE)))
+    lines = F.filter(split_lines(unwrap_fence(text)), lambda x: ~(x.rlike(IMAGE) | is_confidential(x)))
     cleaned = compact_blank_lines(F.array_join(F.transform(lines, lambda x: relevel_heading(x, action)), "\n"))
     return let(cleaned, lambda x: F.when(x.contains("无需补充") & (F.length(x) < 80), F.lit("")).otherwise(x))
 

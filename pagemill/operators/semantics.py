@@ -79,10 +79,10 @@ class DryRun:
 
 
 def run_queue(queue: DataFrame, provider: Provider | DryRun, parallel: int | None = None) -> DataFrame:
-    """doc_id, model, page, action, status, description, error.  ``parallel`` bounds the tasks that call at once."""
+    """doc_id, model, page, action, context, status, description, error.  ``parallel`` bounds the tasks that call at once."""
     if isinstance(provider, DryRun):
         none = F.lit(None).cast("string")
-        return queue.select("doc_id", "model", "page", "action", F.lit("pending").alias("status"), none.alias("description"), none.alias("error"))
+        return queue.select("doc_id", "model", "page", "action", "context", F.lit("pending").alias("status"), none.alias("description"), none.alias("error"))
 
     def ask(batches: Iterator) -> Iterator:
         for frame in batches:
@@ -92,12 +92,12 @@ def run_queue(queue: DataFrame, provider: Provider | DryRun, parallel: int | Non
                     found.append(("described", provider.describe(model, prompt), None))
                 except Exception as error:  # an answer that fails is a row that says so
                     found.append(("error", None, str(error)))
-            frame = frame[["doc_id", "model", "page", "action"]].copy()
+            frame = frame[["doc_id", "model", "page", "action", "context"]].copy()
             frame["status"], frame["description"], frame["error"] = zip(*found, strict=True) if found else ([], [], [])
             yield frame
 
     rows = queue.repartition(parallel) if parallel else queue
-    return rows.mapInPandas(ask, "doc_id long, model string, page int, action string, status string, description string, error string")
+    return rows.mapInPandas(ask, "doc_id long, model string, page int, action string, context string, status string, description string, error string")
 
 
 def until_blocked(rows: DataFrame) -> DataFrame:

@@ -330,8 +330,7 @@ SELECT doc_id, model, page::INT AS page, action, CASE WHEN length(t) <= 9000 THE
 )
 def task_queue(spark, sf_dir):
     queue = semantics.task_queue(_routes(spark, sf_dir, 70), A.page_text(spark, sf_dir), ["m-a", "m-b"])
-    asked = semantics.run_queue(queue, semantics.DryRun()).select("doc_id", "model", "page", "status")
-    return queue.join(asked, ["doc_id", "model", "page"])
+    return semantics.run_queue(queue, semantics.DryRun()).select("doc_id", "model", "page", "action", "context", "status")
 
 
 @query(f"WITH {A.SEMANTICS_SQL}, e AS (SELECT doc_id, max(page) AS n FROM semantics GROUP BY doc_id), w AS (SELECT doc_id, unnest(range(1, n + 1)) AS page FROM e) SELECT doc_id, page::INT AS page FROM w ANTI JOIN (SELECT DISTINCT doc_id, page FROM semantics WHERE status = 'described') USING (doc_id, page)")

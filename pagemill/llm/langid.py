@@ -15,8 +15,8 @@ divided by the square root of the number of words, which keeps long texts from a
 As a pipeline stage (``keep_identified``) the predicted language becomes the document's ``lang``; documents
 without a language go, and so do those of a language that isn't asked for.
 
-Pieces are those of up to ``MAX_PIECE`` characters (of the default vocabulary that is every one but runs of
-marks or blanks; longer ones can be had by raising it); words of over ``LONG`` characters aren't learned from.
+Every piece of the vocabulary takes part but single bytes and control pieces; words of over ``LONG`` characters
+are scored, but aren't learned from.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; with no labelled row at all
 every text is, and the stage then keeps every document as it came, as nothing can be told apart; ties go to
@@ -43,7 +43,6 @@ from .worker import drop, keep
 
 SAMPLE_TEXTS = 400
 ROUNDS = 3
-MAX_PIECE = 12
 #: Words remembered by a worker before it starts anew.
 MAX_WORDS = 500_000
 #: Words of more characters are scored one by one, with the sums kept in range.
@@ -68,7 +67,7 @@ def pieces(path: str) -> list[str]:
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     n = model.get_piece_size()
     plain = (model.id_to_piece(i) for i in range(n) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)))
-    return sorted({p.lower() for p in plain if len(p) <= MAX_PIECE})
+    return sorted({p.lower() for p in plain})
 
 
 def words_of(text: str) -> list[str]:
@@ -80,6 +79,7 @@ class Lattice:
 
     def __init__(self, vocabulary: list[str]):
         self.unknown = len(vocabulary)  # stands for a character that no piece holds
+        self.longest = max(map(len, vocabulary), default=1)
         chars, size = self._chars(vocabulary)
         sums, down = self._prefixes(chars)
         end = np.cumsum(size)
@@ -111,7 +111,7 @@ class Lattice:
         for end in range(1, int(size.max()) + 1 if len(size) else 1):
             active = np.flatnonzero(size >= end)
             at = begin[active] + end
-            for length in range(1, min(end, MAX_PIECE) + 1):
+            for length in range(1, min(end, self.longest) + 1):
                 key = (sums[at] - sums[at - length]) * down[at - length]
                 place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
                 right = self.keys[place] == key
@@ -192,12 +192,12 @@ class Scorer:
         marked = SPACE + word
         for end in range(1, len(marked) + 1):
             now = np.zeros(self.n)
-            for length in range(1, min(end, MAX_PIECE) + 1):
+            for length in range(1, min(end, self.lattice.longest) + 1):
                 k = self.number.get(marked[end - length : end], unknown if length == 1 else None)
                 if k is not None:
                     now = now + ahead[-length] * self.prob[k]
             ahead.append(now)
-            ahead = ahead[-MAX_PIECE:]
+            ahead = ahead[-self.lattice.longest :]
             if now.min() < 1e-150:
                 top = np.max(ahead, axis=0)
                 ahead, lost = [a / top for a in ahead], lost + np.log(top)

@@ -33,11 +33,11 @@ SEQ_LEN = 2048
 END_ID = 1
 
 
-def encoded(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encoded(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", specials_as_text: bool = False) -> DataFrame:
     """part, before (ids before it in its part), doc_id, n_tokens, ids (little-endian, 2 bytes each if they all fit, else 4)."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part, before = encoder(tokenizer), TaskContext.get().partitionId(), 0
+        enc, part, before = encoder(tokenizer, specials_as_text), TaskContext.get().partitionId(), 0
         kind = "<u2" if max(enc.vocab - 1, end_id) < 1 << 16 else "<u4"
         for batch in batches:
             for _, rows, texts in text_parts(batch):
@@ -63,9 +63,10 @@ def pack(
     id_col: str = "doc_id",
     text_col: str = "text",
     with_ids: bool = False,
+    specials_as_text: bool = False,
 ) -> DataFrame:
     """One row a piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and its ids, if asked)."""
-    written = materialize(encoded(docs, tokenizer or default_path(), end_id, id_col, text_col), "encoded")
+    written = materialize(encoded(docs, tokenizer or default_path(), end_id, id_col, text_col, specials_as_text), "encoded")
     totals = written.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     bases = totals.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))
     # one row a task of the first pass

@@ -123,6 +123,7 @@ def write_token_files(
     end_id: int = END_ID,
     id_col: str = "doc_id",
     text_col: str = "text",
+    specials_as_text: bool = False,
 ) -> DataFrame:
     """Writes all documents; the manifest: part, tokens_file, docs_file, n_docs, n_tokens, n_sequences, base."""
     spark = docs.sparkSession
@@ -133,7 +134,7 @@ def write_token_files(
         first = next(batches, None)
         if first is None:
             return
-        enc, part = encoder(tokenizer), TaskContext.get().partitionId()
+        enc, part = encoder(tokenizer, specials_as_text), TaskContext.get().partitionId()
         fs, root = file_system(folder)
         fs.create_dir(root)
         name = f"part-{part:06d}-{uuid.uuid4().hex}"

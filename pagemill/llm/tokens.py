@@ -8,7 +8,8 @@ at most one space before it, and runs of white space) and never merges across th
 
 and the ids of the cuts put together are those of the whole text.  ``Encoder`` cuts there and has the library
 encode each different unit once; text that repeats words, as prose does, then costs a look-up a word.
-Strings of special tokens part a text first, as they do in the library; they get the library's ids.
+Strings of special tokens part a text first, as they do in the library, and get the library's ids; with
+``specials_as_text`` they are ordinary text, so that no document can bring in an id that means something else.
 A tokenizer with another pre-tokenizer or a normaliser gets whole texts.  tests/llm compares with plain encoding.
 """
 
@@ -52,11 +53,12 @@ class _Places(dict):
 
 
 class Encoder:
-    def __init__(self, path: str, max_units: int = MAX_UNITS):
+    def __init__(self, path: str, max_units: int = MAX_UNITS, specials_as_text: bool = False):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; the library's threads would take others' and their memory
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = specials_as_text
         self.vocab = self.tokenizer.get_vocab_size()
         self.max_units = max_units
         made = json.loads(self.tokenizer.to_str())
@@ -66,7 +68,7 @@ class Encoder:
         plain = not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in made["added_tokens"])
         self.cuts = plain and not made.get("normalizer") and pre.get("type") == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"] and len(feed) == 1
         self.feed = feed[0] if feed else None
-        self.special = {t["content"]: t["id"] for t in made["added_tokens"]}
+        self.special = {} if specials_as_text else {t["content"]: t["id"] for t in made["added_tokens"]}
         self.parts = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self._reset()
 
@@ -190,9 +192,9 @@ class Encoder:
         return out
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, specials_as_text: bool = False) -> Encoder:
     """This worker's encoder."""
-    return keep(("encoder", path), lambda: Encoder(path))
+    return keep(("encoder", path, specials_as_text), lambda: Encoder(path, specials_as_text=specials_as_text))
 
 
 def default_path() -> str:

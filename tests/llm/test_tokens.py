@@ -32,6 +32,16 @@ def test_special_strings_get_the_ids_of_the_library(text):
     assert [i.tolist() for i in ENCODER.encode(["before", text, "after"], 5)] == [[*plain_ids(t), 5] for t in ("before", text, "after")]
 
 
+def test_special_strings_can_be_ordinary_text(docs_of):
+    library = Tokenizer.from_file(PATH)
+    library.encode_special_tokens = True
+    text = "a <|endoftext|>b.<|endoftext|>"
+    ids = library.encode(text, add_special_tokens=False).ids
+    assert 50256 not in ids and tokens.Encoder(PATH, specials_as_text=True).encode([text])[0].tolist() == ids != plain_ids(text)
+    row = packing.pack(docs_of([(1, text)]), specials_as_text=True).first()
+    assert row.doc_tokens == len(ids) + 1 and token_files.write_token_files(docs_of([(1, text)]), specials_as_text=True).first().n_tokens == len(ids) + 1
+
+
 def test_another_tokenizer_gets_whole_texts():
     import public_tokenizers
 

@@ -167,12 +167,12 @@ class Table:
                     widths[column] = max(widths[column], wide)
                 elif column + span < n:
                     spanning.append((span, column, wide))
+        begun, offset = {column for row in self.rows for column, _, _ in row}, [0]
         for span, column, wide in sorted(spanning):
-            room = sum(widths[column : column + span]) + 2 * (span - 1)
+            room = sum(widths[column : column + span]) + 2 * sum(c in begun for c in range(column + 1, column + span))
             widths[column + span - 1] += max(0, wide - room)
-        offset = [0]
-        for wide in widths:
-            offset.append(offset[-1] + wide + 2)
+        for column, wide in enumerate(widths):  # a column in which no cell begins is part of the one before
+            offset.append(offset[-1] + wide + 2 * (column + 1 in begun))
         out = []
         for row in cells:
             for k in range(max((len(lines) for _, _, lines in row), default=0)):
@@ -189,7 +189,7 @@ class Rules:
     """What a page's style elements say about display and visibility."""
 
     def __init__(self):
-        self.by: dict[str, list[tuple]] = {}
+        self.by: dict[str, dict[tuple, tuple]] = {}  # a selector's rarest part -> what each selector with it declares
         self.n = 0
 
     def read(self, css: str) -> None:
@@ -224,11 +224,13 @@ class Rules:
             if not found or not found[0]:
                 continue
             tag, parts = (found[1] or "*").lower(), re.findall(r"[.#][\w-]+", found[2])
-            ids, classes = {p[1:] for p in parts if p[0] == "#"}, {p[1:] for p in parts if p[0] == "."}
+            ids, classes = (frozenset(p[1:] for p in parts if p[0] == mark) for mark in "#.")
             weight = (len([p for p in parts if p[0] == "#"]), len([p for p in parts if p[0] == "."]), tag != "*")
             for name, value, strong in declared:
                 self.n += 1
-                self.by.setdefault(parts[0] if parts else tag, []).append((tag, ids, classes, name, value, (strong, 0, weight, self.n)))
+                rank, own = (strong, 0, weight, self.n), self.by.setdefault(parts[0] if parts else tag, {})
+                if rank > own.get((tag, ids, classes, name), ((),))[0]:  # the same selector's earlier word no longer counts
+                    own[tag, ids, classes, name] = rank, value
 
     def told(self, tag: str, given: dict[str, str]) -> dict[str, str]:
         """display and visibility of an element, as far as it or a rule declares them."""
@@ -236,7 +238,7 @@ class Rules:
         if self.by:
             own_id, own = given.get("id", ""), set(given.get("class", "").split())
             for key in ("*", tag, "#" + own_id, *("." + c for c in own)):
-                for wanted, ids, classes, name, value, rank in self.by.get(key, ()):
+                for (wanted, ids, classes, name), (rank, value) in self.by.get(key, {}).items():
                     if wanted in ("*", tag) and ids <= {own_id} and classes <= own and rank >= best.get(name, (rank,))[0]:
                         best[name] = (rank, value)
         for k, (name, value, strong) in enumerate(_DECLARED.findall(given.get("style", ""))):

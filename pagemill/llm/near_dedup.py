@@ -44,7 +44,7 @@ COORDINATES = 32
 #: Postings of a list up to which candidate pairs are written out.
 LONG_LIST = 32
 #: Classes of a long list that one side of a join key holds.
-BLOCK = 512
+BLOCK = 96
 
 
 def least_matches(similarity: float, coordinates: int) -> int:

@@ -218,7 +218,7 @@ def across(posts: DataFrame, links: _Links) -> DataFrame:
     same = (F.col("key") == F.col("b_key")) & (F.col("label") != F.col("b_label"))
     pair = [F.least("rep", "b_rep").alias("a"), F.greatest("rep", "b_rep").alias("b")]
     short = posts.join(tops.where(F.col("size") <= LONG_LIST), "key")
-    found = links.confirmed(short.join(second(short.where("label <> top")), same & links.likely()).select(*pair).distinct())
+    found = materialize(links.confirmed(short.join(second(short.where("label <> top")), same & links.likely()).select(*pair).distinct()), "near-short")
     long = materialize(posts.join(tops.where(F.col("size") > LONG_LIST), "key"), "near-long")
     if long.isEmpty():
         return found

@@ -58,12 +58,13 @@ def release(spark: SparkSession, first: int = 0, last: int | None = None) -> Non
 HOT = 1000
 
 
-def join_classes(rows: DataFrame, classes: DataFrame, key: str, size: str, salts: int = 64, how: str = "inner") -> DataFrame:
-    """``rows`` with their class, by ``key``, which ``classes`` has once; ``size`` is how many rows a class has.
+def join_classes(rows: DataFrame, classes: DataFrame, key: str, size: str, salts: int = 64, how: str = "inner", total: int | None = None) -> DataFrame:
+    """``rows`` with their class, by ``key``, which ``classes`` has once; ``size`` is how many rows a class has, ``total`` all of them together.
 
     There can't be more than ``HOT`` hot classes.  Each of them is repeated for every salt, so that its rows spread over as many tasks.
     """
-    total = classes.agg(F.sum(size)).first()[0] or 0
+    if total is None:
+        total = classes.agg(F.sum(size)).first()[0] or 0
     hot = classes.where(F.col(size) * HOT > total).select(F.col(key).alias("hot"))
     marked = rows.join(F.broadcast(hot), rows[key] == hot["hot"], "left")
     salt = F.pmod(F.xxhash64(*rows.columns, F.monotonically_increasing_id()), F.lit(salts)).cast("int")

@@ -57,7 +57,7 @@ _INLINE = re.compile(
     re.I,
 )
 START, END = "<|im_start|>", "<|im_end|>"
-PART_BYTES = 64_000_000
+PART_BYTES = 16_000_000
 
 
 def marker_of(line: str) -> tuple[str, int]:

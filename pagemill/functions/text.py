@@ -171,7 +171,7 @@ NUMBER = r"(?U)((?<![A-Za-z0-9,])\d[\d,]*(?:\.\d+)?%?(?![A-Za-z0-9,]))"
 def numeric_tokens(text: Column) -> Column:
     """Different numbers without their commas; single digits only with a point or a percent sign.  Sorted."""
     found = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(NUMBER), F.lit(1)), lambda t: F.replace(t, F.lit(","), F.lit("")))
-    told = F.filter(found, lambda t: (F.length(F.regexp_replace(t, r"(?U)\D", "")) >= 2) | t.contains(".") | t.contains("%"))
+    told = F.filter(found, lambda t: t.rlike(r"(?U)\d\d|[.%]"))
     return F.array_sort(F.array_distinct(told))
 
 

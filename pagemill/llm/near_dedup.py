@@ -118,22 +118,28 @@ class _Links:
 
     def sets(self, reps: DataFrame) -> DataFrame:
         """doc_id and full set of the classes in column ``doc_id``."""
-        wanted = materialize(reps, "near-wanted")
-        return materialize(full_sets(self.docs.join(wanted, "doc_id", "left_semi"), self.width), "near-sets")
+        wanted = self.docs.join(reps.distinct(), "doc_id", "left_semi")
+        # few of all documents: dealt anew, so that tasks and files are as many as these need
+        return materialize(full_sets(wanted.repartition("doc_id"), self.width), "near-sets")
 
     def enough(self, one, two):
         """Whether two full sets are similar enough."""
         shared = F.size(F.array_intersect(one, two))
         return 100 * shared >= self.percent * (F.size(one) + F.size(two) - shared)
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that are links by their full sets."""
-        pairs = materialize(pairs, "near-candidates")
-        sets = self.sets(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
+    def confirmed(self, pairs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
+        """The pairs (a, b) that are links by their full sets, which are collected if not given."""
+        if sets is None:
+            pairs = materialize(pairs, "near-candidates")
+            sets = self.sets(members(pairs))
         one, two = (sets.select(F.col("doc_id").alias(x), F.col("held").alias(f"s_{x}")) for x in "ab")
         return pairs.join(one, "a").join(two, "b").where(self.enough(F.col("s_a"), F.col("s_b"))).select("a", "b").distinct()
 
 
+def members(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
+
+
 def near_duplicates(
     docs: DataFrame,
     width: int = 5,
@@ -152,7 +158,7 @@ def near_duplicates(
     text = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     labels = link_components(prefix, _Links(text, width, percent, matches), shared_ids(signed, classes))
     by_digest = classes.join(labels, classes["rep"] == labels["node"], "left").select("digest", "n", F.coalesce("component", "rep").alias("class_component"))
-    out = join_classes(signed.drop("keys"), materialize(by_digest, "near-classes"), "digest", "n", how="left")
+    out = join_classes(signed.drop("keys"), by_digest, "digest", "n", how="left")
     component = F.coalesce("class_component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
@@ -217,12 +223,10 @@ def across(posts: DataFrame, links: _Links) -> DataFrame:
     tops = materialize(tops.select("key", "size", F.col("top.n").alias("alike"), F.col("top.label").alias("top")), "near-tops")
     same = (F.col("key") == F.col("b_key")) & (F.col("label") != F.col("b_label"))
     pair = [F.least("rep", "b_rep").alias("a"), F.greatest("rep", "b_rep").alias("b")]
-    short = posts.join(tops.where(F.col("size") <= LONG_LIST), "key")
-    found = materialize(links.confirmed(short.join(second(short.where("label <> top")), same & links.likely()).select(*pair).distinct()), "near-short")
-    long = materialize(posts.join(tops.where(F.col("size") > LONG_LIST), "key"), "near-long")
-    if long.isEmpty():
-        return found
-    sets = links.sets(long.select(F.col("rep").alias("doc_id")).distinct())
+    short, long = (posts.join(tops.where(when), "key") for when in (F.col("size") <= LONG_LIST, F.col("size") > LONG_LIST))
+    pairs = materialize(short.join(second(short.where("label <> top")), same & links.likely()).select(*pair).distinct(), "near-candidates")
+    sets = links.sets(members(pairs).union(long.select("rep")))
+    found = materialize(links.confirmed(pairs, sets), "near-short")
     full = long.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
     # each side's classes are dealt over its blocks and stand in the block pairs with all of the other's
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")

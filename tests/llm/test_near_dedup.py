@@ -75,7 +75,7 @@ def test_a_large_group_makes_few_candidates(docs_of, monkeypatch):
         pairs.append((n, " ".join(words)))
     tried = []
     plain = near_dedup._Links.confirmed
-    monkeypatch.setattr(near_dedup._Links, "confirmed", lambda self, p: (tried.append(p.count()), plain(self, p))[1])
+    monkeypatch.setattr(near_dedup._Links, "confirmed", lambda self, p, sets=None: (tried.append(p.count()), plain(self, p, sets))[1])
     monkeypatch.setattr(near_dedup, "LONG_LIST", 16)
     rows = near_dedup.near_duplicates(docs_of(pairs), width=3, percent=85).collect()
     assert Counter(map(tuple, rows)) == all_pairs(pairs, 3, 85)

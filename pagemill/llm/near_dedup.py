@@ -118,7 +118,8 @@ class _Links:
 
     def sets(self, reps: DataFrame) -> DataFrame:
         """doc_id and full set of the classes in column ``doc_id``."""
-        wanted = self.docs.join(reps.distinct(), "doc_id", "left_semi")
+        # written, so that its size is known and few are broadcast instead of all documents being shuffled
+        wanted = self.docs.join(materialize(reps.distinct(), "near-wanted"), "doc_id", "left_semi")
         # few of all documents: dealt anew, so that tasks and files are as many as these need
         return materialize(full_sets(wanted.repartition("doc_id"), self.width), "near-sets")
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.udfs import plain_text
 from ..operators import audit, blocks, integrate, ledger, package, routing, scoring, segment, semantics, visuals
 from . import adapters as A
 from .registry import query
@@ -118,7 +117,7 @@ def selected_ranges(spark, sf_dir):
 
 @query(r"""SELECT page_id, trim(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(replace(html, '&middot;', '·'), '&copy;', '©'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS text FROM pages""")
 def html_plain_text(spark, sf_dir):
-    return A.table(spark, sf_dir, "pages").select("page_id", plain_text(F.col("html")).alias("text"))
+    return A.table(spark, sf_dir, "pages").select("page_id", T.page_plain_text(F.col("html")).alias("text"))
 
 
 NUMBERS = "list_sort(list_distinct(list_filter(list_transform(list_filter(list_transform(string_split({0}, ' '), lambda t: rtrim(t, ';')), lambda t: regexp_full_match(t, '[0-9][0-9,]*([.][0-9]+)?%?')), lambda t: replace(t, ',', '')), lambda t: length(regexp_replace(t, '[^0-9]', '', 'g')) >= 2 OR contains(t, '.') OR contains(t, '%'))))".format

@@ -38,6 +38,22 @@ def test_query_matches_its_sql(spark, duck, name):
     assert counted(found.columns, [tuple(r) for r in found.collect()]) == counted(columns, told.fetchall())
 
 
+PAGES = [
+    None, "", " ", "<b>tea</b> &amp; milk", "cut &amp</p>", "cut &quot <i>&copy", "&ampx; &AMP; &nbsp;&#39;&#x41;&eacute;", "&amp;lt;b&amp;gt; &amp;amp;",
+    "&am&quot;p; &&lt;i&gt;lt;", "&lt;b&gt;x&middot;&copy;", "<a\nb>c<>d<<e>f<g", "> a < b", "a\u00a0\u00a0 b\u3000", "\u00a0a\u2003", "<p>\u3000x\u00a0</p>",
+    "a\x0b\x0bb\x1cc\x85d\u2028", "\ta\r\n\fb ", "\u200bz\u200b", "\x00 q \x00", "&copy;😀<😀>é", "\u00a0" * 30,
+]
+
+
+def test_odd_pages_match_the_sql(spark, duck, tmp_path):
+    rows = list(enumerate(PAGES))
+    spark.createDataFrame([(i, f"u{i}", h) for i, h in rows], "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    found = {r.page_id: r.text for r in QUERIES["html_plain_text"](spark, str(tmp_path)).collect()}
+    told = duck.cursor().execute(f"WITH pages AS (SELECT * FROM '{tmp_path}/pages.parquet/*.parquet') {ORACLE['html_plain_text']}").fetchall()
+    assert found == dict(told) and len(found) == len(PAGES)
+    assert found[4] == "cut &amp" and found[0] is None
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
